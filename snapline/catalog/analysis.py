@@ -78,7 +78,7 @@ UNION ALL SELECT NULL, status, entry_date, NULL, sum(amount) FROM data GROUP BY
 def _(spark, d):
     counted = metric_counts(_events(spark, d), F.lit("A"), "event_type", F.col("entry_date"))
     counted = counted.withColumn("cnt", F.col("cnt").cast("string"))
-    summed = _data(spark, d).groupBy("entry_date", F.col("status").alias("metrics")).agg(F.sum("amount").alias("amount"))
+    summed = _data(spark, d).groupBy("entry_date", F.col("status").alias("metrics")).agg(F.sum("amount").cast("decimal(38,2)").alias("amount"))
     return union_all([counted, summed])
 
 

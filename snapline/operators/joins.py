@@ -22,6 +22,7 @@ def spread_join(
     pairs: Sequence[tuple[str, str]],
     how: str,
     residual: Column | None = None,
+    hash_name: str | None = None,
 ) -> DataFrame:
     """Equi join on ``pairs`` that stays splittable when one key is hot.
 
@@ -30,20 +31,25 @@ def spread_join(
     is not a fresh exchange. Joining on the key *and* its hash gives both sides an
     exchange of their own; the right side is the reduced one, so that is cheap.
     Right key columns are dropped.
+
+    ``hash_name`` keeps the left hash under that name; a second join on the same key
+    that names it again reuses the exchange of the first.
     """
     for lname, rname in pairs:
         if left.schema[lname].dataType != right.schema[rname].dataType:
             raise TypeError(f"join keys differ in type: {lname}, {rname}")
+    kept = hash_name or "__left_hash"
     renamed = {rname: f"__right_{i}" for i, (_, rname) in enumerate(pairs)}
     right = right.withColumnsRenamed(renamed)
     right = right.withColumn("__right_hash", F.xxhash64(*renamed.values()))
-    left = left.withColumn("__left_hash", F.xxhash64(*[lname for lname, _ in pairs]))
+    if kept not in left.columns:
+        left = left.withColumn(kept, F.xxhash64(*[lname for lname, _ in pairs]))
     tests = [F.col(lname) == F.col(renamed[rname]) for lname, rname in pairs]
-    tests.append(F.col("__left_hash") == F.col("__right_hash"))
+    tests.append(F.col(kept) == F.col("__right_hash"))
     if residual is not None:
         tests.append(residual)
-    joined = left.join(right, reduce(and_, tests), how)
-    return joined.drop("__left_hash", "__right_hash", *renamed.values())
+    joined = left.join(right, reduce(and_, tests), how).drop("__right_hash", *renamed.values())
+    return joined if hash_name else joined.drop(kept)
 
 
 def left_by_key(
@@ -67,19 +73,19 @@ def left_by_key(
 
 
 def anti_not_in(
-    df: DataFrame, key: str, ids: DataFrame, id_col: str, known: DataFrame | None = None
+    df: DataFrame, key: str, ids: DataFrame, id_col: str, restricted: bool = False
 ) -> DataFrame:
     """SQL ``key NOT IN (ids)`` without its broadcast of the whole id set.
 
-    A NULL key survives only when the id set is empty. ``known`` narrows the id set
-    for that emptiness test alone, where the caller's set is a superset.
+    A NULL key survives only when the id set is empty. With ``restricted`` the id set
+    counts as restricted to the keys of ``df``, so it is empty when no key is found;
+    the test shares the exchange of the ids with the join.
     """
-    present = ids.where(F.col(id_col).isNotNull()).select(id_col)
-    kept = spread_join(
-        df.where(F.col(key).isNotNull()), present.distinct(), [(key, id_col)], "left_anti"
-    )
-    witness = present if known is None else known.where(F.col(id_col).isNotNull()).select(id_col)
-    unknown = df.where(F.col(key).isNull() & ~witness.exists())
+    keyed = df.where(F.col(key).isNotNull())
+    present = ids.where(F.col(id_col).isNotNull()).select(id_col).distinct()
+    kept = spread_join(keyed, present, [(key, id_col)], "left_anti")
+    found = spread_join(keyed, present, [(key, id_col)], "left_semi") if restricted else present
+    unknown = df.where(F.col(key).isNull() & ~found.exists())
     return kept.unionByName(unknown)
 
 
@@ -119,14 +125,21 @@ def semi_window(
 
 
 def left_window(
-    anchor: DataFrame, df: DataFrame, key: str, df_key: str, start: str, ts: str, width: str
+    anchor: DataFrame,
+    df: DataFrame,
+    key: str,
+    df_key: str,
+    start: str,
+    ts: str,
+    width: str,
+    hash_name: str | None = None,
 ) -> DataFrame:
     """Left join ``anchor`` with ``df`` on the key where ``start <= ts <= start + width``.
 
     ``df`` holds one row per key (the output of ``latest_by``).
     """
     residual = (F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(start) + F.expr(f"interval {width}"))
-    return spread_join(anchor, df, [(key, df_key)], "left", residual)
+    return spread_join(anchor, df, [(key, df_key)], "left", residual, hash_name)
 
 
 def decode(df: DataFrame, steps: Sequence[tuple[str, DataFrame, str, str, str]]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapline.functions.dates import LOCAL_ZONE, fmt_day, fmt_ts, local_day_start, local_time, period_id, read_time
 from snapline.functions.keys import bigint_of, key_of
-from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window
+from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window, spread_join
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import distinct_ids, restrict_to_keys
 
@@ -70,17 +70,17 @@ def assemble_history(
         "__customer_key", key_of(orders, "customer_id")
     )
 
-    # The id source is restricted to the driver's ids, so "no ids" means none of those.
-    known = restrict_to_keys(ids, "id", orders, "__order")
-    unregistered = anti_not_in(orders, "__order", ids, "id", known).drop("__order")
+    unregistered = anti_not_in(orders, "__order", ids, "id", restricted=True).drop("__order")
     windows = unregistered.select(F.col("__customer_key").alias("__crm_customer"), F.col("created_at").alias("__created"))
     candidates = semi_window(crm, windows, "__crm_customer", "order_date_create", "__created", width)
     latest = latest_by(candidates, ["__crm_customer"], ["order_date_create"], tiebreak)
     enriched = left_window(
-        unregistered, latest, "__customer_key", "__crm_customer", "created_at", "order_date_create", width
+        unregistered, latest, "__customer_key", "__crm_customer", "created_at", "order_date_create", width,
+        hash_name="__customer_hash",
     )
     people = _customers(sources["crm_customer"], dedupe_lookup)
-    full = left_by_key(enriched, people, "__customer_key", "__customer")
+    # Same key and hash: this join takes over the partitioning of the one before.
+    full = spread_join(enriched, people, [("__customer_key", "__customer")], "left", hash_name="__customer_hash")
     recreated = F.when(F.col("cust_order_id").isNotNull(), 1).otherwise(0)
     return _snapshot(_newest_first(full), recreated)
 
