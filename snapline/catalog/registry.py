@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapline.session import tune
+from snapline.session import size_shuffles, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,12 @@ SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
-    """Register a query under ``name`` with its check; the session is tuned before it runs."""
+    """Register a query under ``name`` with its check; the session is tuned and sized before it runs."""
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(tune(spark), sf_dir)
+            size_shuffles(tune(spark), sf_dir)
+            return function(spark, sf_dir)
 
         QUERIES[name] = run
         SQL[name] = sql

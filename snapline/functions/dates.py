@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -18,7 +18,7 @@ def _col(column: Column | str) -> Column:
 
 
 def moment(value: Column | dt.datetime | str) -> Column:
-    """A literal, a column or a scalar subquery as TIMESTAMP_NTZ."""
+    """A literal or a column as TIMESTAMP_NTZ."""
     column = value if isinstance(value, Column) else F.lit(value)
     return column.cast("timestamp_ntz")
 
@@ -28,12 +28,19 @@ def local_time(column: Column | str, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(column).cast("timestamp_ntz"))
 
 
-def local_day_start(as_of: Column | dt.datetime | str, zone: str = LOCAL_ZONE, days_back: int = 0) -> Column:
+def local_day_start(
+    as_of: Column | DataFrame | dt.datetime | str, zone: str = LOCAL_ZONE, days_back: int = 0
+) -> Column:
     """The UTC wall time at which the local day of ``as_of`` (minus ``days_back``) begins.
 
     Comparing the raw column with it is the same test as comparing local dates,
-    but it leaves the column bare, so the filter reaches the Parquet scan.
+    but it leaves the column bare and the bound a single value, so the filter reaches
+    the Parquet scan. ``as_of`` is UTC: a value, ``current_timestamp()``, or a frame of
+    one row and one column, which becomes a scalar subquery.
     """
+    if isinstance(as_of, DataFrame):
+        (name,) = as_of.columns
+        return as_of.select(local_day_start(F.col(name), zone, days_back)).scalar()
     day = F.date_sub(F.to_date(local_time(moment(as_of), zone)), days_back)
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
 

@@ -27,13 +27,13 @@ HISTORY_WIDTH = "1 day"
 Frames = Mapping[str, DataFrame]
 
 
-def driver_history(df: DataFrame, as_of: Column | str, zone: str = LOCAL_ZONE) -> DataFrame:
+def driver_history(df: DataFrame, as_of: Column | DataFrame | str, zone: str = LOCAL_ZONE) -> DataFrame:
     """Orders created before the local day of ``as_of``, ``created_at`` as local time."""
     rows = df.where(F.col("created_at") < local_day_start(as_of, zone))
     return rows.withColumn("created_at", local_time("created_at", zone))
 
 
-def driver_recent(df: DataFrame, as_of: Column | str, zone: str = LOCAL_ZONE, days: int = 1) -> DataFrame:
+def driver_recent(df: DataFrame, as_of: Column | DataFrame | str, zone: str = LOCAL_ZONE, days: int = 1) -> DataFrame:
     """Orders created on the local day of ``as_of`` or up to ``days`` before, or later."""
     rows = df.where(F.col("created_at") >= local_day_start(as_of, zone, days))
     return rows.withColumn("created_at", local_time("created_at", zone))

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from snapline.operators.metrics import normalize_metrics, union_all
+from snapline.operators.metrics import normalize_metrics, sample_series, union_all
+from snapline.operators.pushdown import restrict_to_keys
 from snapline.plans.snapshot import ContractError, Manifest, Rules, mark_stale, write_snapshot
 from snapline.sources.readers import SourceSpec, read_source
 
@@ -37,8 +38,6 @@ class PipelineSpec:
 
 def collect_sources(spark: SparkSession, spec: PipelineSpec) -> dict[str, DataFrame]:
     """All sources by name, lazily; those with ``keys`` are restricted to the driver."""
-    from snapline.operators.pushdown import restrict_to_keys
-
     frames = {source.name: read_source(spark, source) for source in spec.sources}
     if spec.assemble is None:
         return frames
@@ -61,6 +60,14 @@ def build(spec: PipelineSpec, frames: Mapping[str, DataFrame]) -> DataFrame:
     return normalize_metrics(combined)
 
 
+def run_sample(
+    spark: SparkSession, catalogue: DataFrame, path: str, start_day: str, days: int = 60
+) -> Manifest:
+    """Publish a synthetic metric snapshot, to try readers without any source."""
+    series = normalize_metrics(sample_series(catalogue, start_day, days))
+    return write_snapshot(series, path, source_versions={"mode": "sample"})
+
+
 def run_pipeline(
     spark: SparkSession, spec: PipelineSpec, path: str, key: Column | None = None
 ) -> Manifest:

@@ -96,8 +96,8 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest:
 
 
 def _write(df: DataFrame, path: str) -> int:
-    """Write and count in one job. The count sits above any sort, whose sampling pass
-    would otherwise be counted as well."""
+    """Write and count in one job. The count belongs to the writing tasks, which count once
+    even if some are repeated; below a sort it would also see the sort's sampling pass."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", COMPRESSION).parquet(path)
     return seen.get["n"]

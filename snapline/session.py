@@ -18,7 +18,15 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Shuffle partitions before coalescing: input bytes grow about threefold when decoded,
+# and a task should sort 128 MB in memory. Beyond the bound, more would only cost planning.
+BYTES_PER_PARTITION = 128 << 20
+DECODED = 3
+MOST_PARTITIONS = 32_768
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _own_scratch: str | None = None
+_input_bytes: dict[str, int] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -28,6 +36,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Start shuffles with enough partitions for the input below ``path``.
+
+    Adaptive execution merges what turns out too small, so this only has to be large
+    enough; it never goes below ``spark.sql.shuffle.partitions``.
+    """
+    if path not in _input_bytes:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        _input_bytes[path] = system.getContentSummary(place).getLength()
+    wanted = min(MOST_PARTITIONS, -(-_input_bytes[path] * DECODED // BYTES_PER_PARTITION))
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(_INITIAL, str(partitions))
+    return partitions
+
+
 def build_session(app: str = "snapline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`SETTINGS`, UTC, and any extra ``conf``."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")

@@ -5,7 +5,7 @@ Whole tables throughout: a model renames, casts and joins, it never samples.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapline.functions.dates import fmt_day, fmt_ts
@@ -24,9 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def newest_order_time(spark: SparkSession, sf_dir: str) -> Column:
-    """``as_of`` for the driver filters: a scalar subquery, never the wall clock."""
-    return table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
+def newest_order_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``as_of`` for the driver filters, one row: taken from the data, never the wall clock."""
+    return table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("as_of"))
 
 
 def customer_orders(orders: DataFrame) -> DataFrame:

@@ -1,0 +1,139 @@
+"""What the plans look like, and what they do with a hot key."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapline.catalog import builds  # noqa: F401
+from snapline.catalog.registry import QUERIES
+from snapline.operators.dashboard import densify, kpis
+from snapline.operators.grid import grid_page_after
+from snapline.operators.joins import anti_not_in, left_window, semi_window, spread_join
+from snapline.operators.latest import latest_by
+from snapline.operators.pushdown import restrict_to_keys
+from snapline.plans.assemble import driver_history
+from snapline.session import size_shuffles
+from tests.conftest import SMALL
+
+NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1"}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df) -> str:
+    """The plan adaptive execution ended with; the sum keeps every row and column in it."""
+    total = df.select(F.sum(F.hash(*df.columns).cast("bigint")))
+    total.collect()
+    return plan(total).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|ArrowEval|BatchEval", text)
+    assert "LeftAnti, true" not in text, "a null-aware anti join has to broadcast"
+
+
+def test_rank_filters_become_group_limits_before_the_exchange(spark):
+    for name in ("latest_state", "latest_per_customer"):
+        text = plan(QUERIES[name](spark, SMALL))
+        assert "Partial" in text and text.count("WindowGroupLimit") == 2
+
+
+def test_kpi_panel_scans_once(spark):
+    df = spark.read.parquet(f"{SMALL}/orders.parquet")
+    specs = [{"agg": "count_distinct", "field": "o_custkey"}, {"agg": "count_distinct", "field": "o_orderstatus"},
+             {"agg": "sum", "field": "o_totalprice"}]
+    text = plan(kpis(df, specs))
+    assert text.count("FileScan") == 1
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
+
+
+def _scan_filters(df) -> str:
+    return " ".join(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", df._jdf.queryExecution().toString()))
+
+
+def test_filters_reach_the_scan(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").withColumnRenamed("o_orderdate", "created_at")
+    assert "LessThan(o_orderdate,1999-" in _scan_filters(driver_history(orders, "1999-05-01 12:00:00"))
+    newest = orders.agg(F.max("created_at"))
+    assert "LessThan(o_orderdate,ScalarSubquery" in _scan_filters(driver_history(orders, newest))
+    page = grid_page_after(orders, "o_totalprice", True, "o_orderkey", (1000.0, 5))
+    assert "LessThan(o_totalprice,1000.0)" in _scan_filters(page)
+
+
+def test_history_exchanges_its_orders_once_for_both_lookups(spark, conf):
+    conf(**NO_BROADCAST)
+    text = plan(QUERIES["assemble_history"](spark, SMALL))
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
+    assert len(joins) == 2
+    assert len(re.findall(r"hashpartitioning\(__customer_key#\d+L, __customer_hash#\d+L", text)) == 1
+
+
+@pytest.fixture
+def hot(spark, conf):
+    """A third of 120,000 rows share key 7 and, for the windows, one moment."""
+    conf(**NO_BROADCAST, **{
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16KB",
+    })
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    is_hot = F.col("id") % 3 == 0
+    return spark.range(0, 120_000, 1, 8).select(
+        F.when(is_hot, 7).otherwise(F.col("id") % 5000).cast("bigint").alias("k"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.when(is_hot, 60).otherwise(F.col("id") % 50_000).cast("int"))).alias("ts"),
+        F.hex(F.xxhash64("id")).alias("payload"),
+    )
+
+
+@pytest.fixture
+def other(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    return spark.range(0, 20_000, 1, 8).select(
+        (F.col("id") % 4000).alias("ok"), F.col("id").alias("v"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") % 1000).cast("int"))).alias("start"),
+    )
+
+
+def _cases(hot, other):
+    newest = latest_by(other, ["ok"], ["v"])
+    both = left_window(hot, newest, "k", "ok", "ts", "start", "1 day", hash_name="h")
+    people = other.where("v < 4000").select(F.col("ok").alias("pk"), F.col("v").alias("pv"))
+    return {
+        "restrict": restrict_to_keys(hot, "k", other, "ok"),
+        "not in": anti_not_in(hot, "k", other.where("ok > 100"), "ok"),
+        "window": semi_window(hot, other.withColumnRenamed("ok", "k"), "k", "ts", "start", "1 day"),
+        "left": left_window(hot, newest, "k", "ok", "ts", "start", "1 day"),
+        "two lookups": spread_join(both, people, [("k", "pk")], "left", hash_name="h"),
+    }
+
+
+@pytest.mark.parametrize("name", ["restrict", "not in", "window", "left", "two lookups"])
+def test_hot_keys_are_split(hot, other, name):
+    text = final_plan(_cases(hot, other)[name])
+    assert text.count("skew=true") == (2 if name == "two lookups" else 1)
+
+
+def test_joining_a_ranked_side_in_place_would_not_split(hot, other):
+    newest = latest_by(other, ["ok"], ["v"])
+    assert "skew=true" not in final_plan(hot.join(newest, F.col("k") == F.col("ok"), "left"))
+
+
+def test_dense_grid_is_whole(spark):
+    points = spark.range(200).selectExpr("id % 20 AS x", "string(id) AS s", "1.0D AS y")
+    assert densify(points, blocks=7).count() == 20 * 200
+
+
+def test_shuffles_grow_with_the_input(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__initialPartitionNum="4")
+    from snapline import session
+
+    assert size_shuffles(spark, SMALL) == 4
+    session._input_bytes["huge"] = 100 << 40
+    session._input_bytes["medium"] = 64 << 30
+    assert size_shuffles(spark, "huge") == session.MOST_PARTITIONS
+    assert size_shuffles(spark, "medium") == 1536

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapline.operators.export import csv_lines, write_csv
 from snapline.operators.profile import column_profile, numeric_columns, validate_report
 from snapline.operators.protect import decrypt_columns, encrypt_columns, key_from_file, mask
-from snapline.plans.run import PipelineSpec, run_pipeline
+from snapline.plans.run import PipelineSpec, run_pipeline, run_sample
 from snapline.plans.snapshot import (
     ContractError, Rules, mark_stale, prune_versions, read_manifest, read_snapshot, snapshot_views, table_counts, write_snapshot,
 )
@@ -109,6 +109,12 @@ def test_sources_with_keys_are_restricted(spark, tmp_path, seed):
     assert manifest.source_tables_info == [{"name": "d", "row_count": 1}, {"name": "w", "row_count": 1}]
 
 
+def test_sample_build(spark, tmp_path):
+    catalogue = spark.createDataFrame([("P", "m", 3), ("P", "n", 4)], "platform string, metrics string, seed int")
+    manifest = run_sample(spark, catalogue, str(tmp_path / "s"), "2024-03-01", 10)
+    assert manifest.row_count == 20 and [c["name"] for c in manifest.columns] == ["platform", "metrics", "entry_date", "cnt"]
+
+
 def test_encrypted_build(spark, tmp_path, seed, key):
     path = str(tmp_path / "s")
     spec = _spec(3, location=seed, encrypt=("platform", "cnt"), export=lambda f: f)
