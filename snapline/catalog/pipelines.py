@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from snapline.plans import assemble
-from snapline.plans.run import PipelineSpec
+from snapline.plans.run import PipelineSpec, collect_sources
 from snapline.plans.snapshot import Rules
 from snapline.sources import tables
 from snapline.sources.readers import SourceSpec
@@ -18,7 +18,8 @@ EXPECTED_COLUMNS = ("report_period_id", "entry_date", "id", "customer_id", "stat
 
 
 def _parquet(sf_dir: str, name: str, table: str, shape) -> SourceSpec:
-    return SourceSpec(name, "parquet", f"{sf_dir}/{table}.parquet", shape=shape)
+    path = f"{sf_dir}/{table}.parquet"
+    return SourceSpec(name, "parquet", path, shape=shape, schema=tables.known_schema(path))
 
 
 def history_spec(sf_dir: str, width: str = assemble.HISTORY_WIDTH, **extra) -> PipelineSpec:
@@ -74,12 +75,8 @@ def recent_spec(sf_dir: str, **extra) -> PipelineSpec:
 
 
 def history_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from snapline.plans.run import collect_sources
-
     return collect_sources(spark, history_spec(sf_dir))
 
 
 def recent_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from snapline.plans.run import collect_sources
-
     return collect_sources(spark, recent_spec(sf_dir))

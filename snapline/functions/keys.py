@@ -11,28 +11,43 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+# A failing cast costs an exception per row, dirty columns have millions of them: the
+# tests below let only castable values through.
+_WHOLE = r"^\s*[-+]?\d{1,18}\s*$"
+_NUMBER = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
+
+
+def _in_range(number: Column) -> Column:
+    """A DOUBLE without fraction as BIGINT; NaN and overflow -> NULL."""
+    return F.when((number >= -(2.0**63)) & (number < 2.0**63), number.cast("bigint"))
+
+
 def to_key(column: Column | str) -> Column:
     """Floating-point id -> BIGINT, rounding half to even; NaN and overflow -> NULL.
 
     Spark's own cast truncates, so 1.9999999 would become another customer's id.
     """
-    return F.rint(_col(column).cast("double")).try_cast("bigint")
+    return _in_range(F.rint(_col(column).cast("double")))
+
+
+def _from_text(text: Column, fractional: Column) -> Column:
+    whole = text.rlike(_WHOLE)
+    return F.when(whole, text.cast("bigint")).when(text.rlike(_NUMBER), fractional)
 
 
 def safe_bigint(column: Column | str) -> Column:
     """Text -> BIGINT, rounding half away from zero; anything unreadable -> NULL.
 
-    Plain integers never pass through a fractional type, so ids above 2^53 stay exact.
+    No step goes through a floating-point type, so ids above 2^53 stay exact.
     """
     text = _col(column).cast("string")
-    fractional = F.round(text.try_cast("decimal(38,18)"))
-    return F.coalesce(text.try_cast("bigint"), fractional.try_cast("bigint"))
+    return _from_text(text, F.round(text.try_cast("decimal(38,18)")).try_cast("bigint"))
 
 
 def truncated_bigint(column: Column | str) -> Column:
     """Text -> BIGINT, dropping the fraction; anything unreadable -> NULL."""
     text = _col(column).cast("string")
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return _from_text(text, text.try_cast("decimal(38,18)").try_cast("bigint"))
 
 
 def key_of(df: DataFrame, name: str) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -13,8 +14,8 @@ class SourceSpec:
     """Where a source comes from and how it is shaped.
 
     ``location`` is a path, a table name or, for ``jdbc``, a query; ``options`` go to the
-    reader. ``shape`` turns the raw scan into the model columns. ``keys`` restricts the
-    source to the driver: ``(column, driver column)``.
+    reader; a ``schema`` saves it the look into the files. ``shape`` turns the raw scan into
+    the model columns. ``keys`` restricts the source to the driver: ``(column, driver column)``.
     """
 
     name: str
@@ -24,6 +25,7 @@ class SourceSpec:
     predicates: tuple[str, ...] = ()
     shape: Callable[[DataFrame], DataFrame] | None = None
     keys: tuple[str, str] | None = None
+    schema: StructType | str | None = None
 
 
 def jdbc_options(spec: SourceSpec) -> dict[str, str]:
@@ -54,5 +56,6 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     elif spec.format == "jdbc":
         df = spark.read.format("jdbc").options(**jdbc_options(spec)).load()
     else:
-        df = spark.read.format(spec.format).options(**spec.options).load(spec.location)
+        reader = spark.read.format(spec.format).options(**spec.options)
+        df = (reader.schema(spec.schema) if spec.schema else reader).load(spec.location)
     return spec.shape(df) if spec.shape else df

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapline.functions.dates import fmt_day, fmt_ts
 from snapline.operators.metrics import project
@@ -20,8 +21,19 @@ NOT_HANDED_OVER = "4-NOT SPECIFIED"
 REGISTERED_FLAG = "R"
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def known_schema(path: str) -> StructType | None:
+    """The schema a provided table was first read with; these tables never change."""
+    return _schemas.get(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def newest_order_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from snapline.functions.dates import fmt_day, fmt_ts, local_day_start, local_time, period_id, read_time
@@ -6,22 +7,28 @@ from snapline.functions.predicates import has_text, not_like_any, whitelist
 
 
 def test_double_key_rounds_half_even(spark):
-    df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-1.5,), (1e30,), (float("nan"),), (None,)], "d double")
-    assert [r[0] for r in df.select(to_key("d")).collect()] == [0, 2, 2, -2, None, None, None]
+    df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-1.5,), (1e30,), (float("nan"),), (None,), (-(2.0**63),), (2.0**63,)], "d double")
+    assert [r[0] for r in df.select(to_key("d")).collect()] == [0, 2, 2, -2, None, None, None, -(2**63), None]
 
 
-def test_text_to_bigint(spark):
-    cases = {
-        "12.7": 13, " 12 ": 12, "1e3": 1000, "abc": None, "": None, "12.5": 13, "-12.5": -13, "0.5": 1,
-        "9223372036854775807": 2**63 - 1, "9223372036854775808": None, "9007199254740993": 2**53 + 1, "nan": None,
-    }
-    df = spark.createDataFrame([(k,) for k in cases], "s string")
-    assert dict((r[0], r[1]) for r in df.select("s", safe_bigint("s")).collect()) == cases
+TEXTS = [
+    "12.7", " 12 ", "1e3", "abc", "", "12.5", "-12.5", "0.5", "nan", "inf", "+5", "5.", ".5", "+.5", "-.5", "1e-1", "1E5",
+    "0.5e1", "7\t", "\n7", "- 5", "1 2", "12e", "--1", "1,5", "0.49999999999999999", "007", "-0", "1e18", "1e19", "1e400",
+    "9007199254740993", "9007199254740993.5", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
+    "9223372036854775807.4", "9223372036854775807.5", "-9223372036854775808.4", "99999999999999999999",
+]
+
+
+def test_text_to_bigint_is_the_sql_cast(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "s string")
+    expected = [duckdb.execute("SELECT TRY_CAST(? AS BIGINT)", [t]).fetchall()[0][0] for t in TEXTS]
+    assert [r[0] for r in df.select(safe_bigint("s")).collect()] == expected
+    assert expected[:8] == [13, 12, 1000, None, None, 13, -13, 1]
 
 
 def test_truncated_bigint(spark):
-    df = spark.createDataFrame([("12.7",), ("-12.7",), ("x",), ("1e3",), (None,)], "s string")
-    assert [r[0] for r in df.select(truncated_bigint("s")).collect()] == [12, -12, None, 1000, None]
+    df = spark.createDataFrame([("12.7",), ("-12.7",), ("x",), ("1e3",), (None,), ("1e400",), ("9223372036854775807",)], "s string")
+    assert [r[0] for r in df.select(truncated_bigint("s")).collect()] == [12, -12, None, 1000, None, None, 2**63 - 1]
 
 
 def test_key_of_follows_the_declared_type(spark):

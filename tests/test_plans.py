@@ -56,7 +56,8 @@ def _scan_filters(df) -> str:
     return " ".join(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", df._jdf.queryExecution().toString()))
 
 
-def test_filters_reach_the_scan(spark):
+def test_filters_reach_the_scan(spark, conf):
+    conf(spark__sql__maxMetadataStringLength="2000")
     orders = spark.read.parquet(f"{SMALL}/orders.parquet").withColumnRenamed("o_orderdate", "created_at")
     assert "LessThan(o_orderdate,1999-" in _scan_filters(driver_history(orders, "1999-05-01 12:00:00"))
     newest = orders.agg(F.max("created_at"))
