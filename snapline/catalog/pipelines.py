@@ -19,7 +19,7 @@ EXPECTED_COLUMNS = ("report_period_id", "entry_date", "id", "customer_id", "stat
 
 def _parquet(sf_dir: str, name: str, table: str, shape) -> SourceSpec:
     path = f"{sf_dir}/{table}.parquet"
-    return SourceSpec(name, "parquet", path, shape=shape, schema=tables.known_schema(path))
+    return SourceSpec(name, "parquet", path, shape=shape, schema=tables.schema_of(SparkSession.active(), path))
 
 
 def history_spec(sf_dir: str, width: str = assemble.HISTORY_WIDTH, **extra) -> PipelineSpec:

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Only at start: without it every Column call records its Python call site.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # Shuffle partitions before coalescing: input bytes grow about threefold when decoded,
 # and a task should sort 128 MB in memory. Beyond the bound, more would only cost planning.
 BYTES_PER_PARTITION = 128 << 20
@@ -57,7 +60,7 @@ def build_session(app: str = "snapline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

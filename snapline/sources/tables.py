@@ -24,16 +24,16 @@ REGISTERED_FLAG = "R"
 _schemas: dict[str, StructType] = {}
 
 
-def known_schema(path: str) -> StructType | None:
+def schema_of(spark: SparkSession, path: str) -> StructType:
     """The schema a provided table was first read with; these tables never change."""
-    return _schemas.get(path)
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return _schemas[path]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.schema(schema_of(spark, path)).parquet(path)
 
 
 def newest_order_time(spark: SparkSession, sf_dir: str) -> DataFrame:
