@@ -9,7 +9,7 @@ from snapline.sources.files import write_text
 
 # Fixed values.
 SEPARATOR = ";"
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 NEEDS_QUOTES = '[",\n;]'
 CSV_NAME = "value"
 

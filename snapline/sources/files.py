@@ -39,19 +39,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     write_bytes(spark, path, text.encode("utf-8"))
 
 
+# On these a rename copies, while an upload becomes visible as a whole.
+OBJECT_STORES = frozenset({"s3", "s3a", "s3n", "gs", "oss", "cosn", "obs"})
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Readers see the old text or the new one: written aside, then renamed over."""
+    """Readers see the old text or the new one: written aside, then renamed over; on an
+    object store, uploaded over."""
+    home = _system(spark, path).getUri()
+    if home.getScheme() in OBJECT_STORES:
+        write_text(spark, path, text)
+        return
     aside = f"{path}.{uuid.uuid4().hex}"
     write_text(spark, aside, text)
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
     rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     options = gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
-    target = _path(spark, path)
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        _system(spark, path).getUri(), spark._jsc.hadoopConfiguration()
-    )
-    context.rename(_path(spark, aside), target, options)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(home, spark._jsc.hadoopConfiguration())
+    context.rename(_path(spark, aside), _path(spark, path), options)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

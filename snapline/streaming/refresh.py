@@ -67,12 +67,22 @@ def _start(stream: DataFrame, handler, path: str, mode: str) -> StreamingQuery:
 
 
 def refresh_latest(
-    stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], tiebreak: Sequence[str] = ()
+    stream: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Append each batch's latest row per key; stops when the source is read up."""
+    """Append each batch's latest row per key; stops when the source is read up.
+
+    ``compact_every`` folds the changes into the base after that many batches.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         _write_change(latest_by(batch, keys, order, tiebreak), path, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, keys, order, tiebreak)
 
     return _start(stream, handle, path, "append")
 
@@ -115,13 +125,25 @@ def compact(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], tiebreak: Sequence[str] = ()
 ) -> None:
     """Fold all changes into a new base. The pointer is replaced last, so readers and a
-    running stream never see a gap. For counts, ``keys`` is day and dims, ``order`` the batch."""
+    running stream never see a gap. For counts, ``keys`` is day and dims, ``order`` the batch.
+
+    What the compaction before this one had already folded is deleted now: readers that
+    started on the old pointer still find their files.
+    """
     state = _state(spark, path)
-    batches = [int(name.split("=")[1]) for name in files.children(spark, f"{path}/changes") if "=" in name]
-    if not batches:
+    batches = {
+        int(name.split("=")[1]): name for name in files.children(spark, f"{path}/changes") if "=" in name
+    }
+    if not batches or max(batches) <= state["upto"]:
         return
     upto = max(batches)
     base = uuid.uuid4().hex
     rows = _merged(spark, path, state).where(F.col("batch_id") <= upto)
     latest_by(rows, keys, order, tiebreak).write.parquet(f"{path}/base/{base}")
     files.replace_text(spark, f"{path}/current.json", json.dumps({"base": base, "upto": upto}))
+    for batch_id, name in batches.items():
+        if batch_id <= state["upto"]:
+            files.delete(spark, f"{path}/changes/{name}")
+    for name in files.children(spark, f"{path}/base"):
+        if name not in (base, state["base"]):
+            files.delete(spark, f"{path}/base/{name}")

@@ -74,6 +74,14 @@ def test_history_exchanges_its_orders_once_for_both_lookups(spark, conf):
     assert len(re.findall(r"hashpartitioning\(__customer_key#\d+L, __customer_hash#\d+L", text)) == 1
 
 
+def test_history_reads_the_ids_once(spark, conf):
+    conf(**NO_BROADCAST)
+    df = QUERIES["assemble_history"](spark, SMALL)
+    df.collect()
+    # The test for an empty id set and the second anti join take over the first one's exchange.
+    assert plan(df).count("ReusedExchange [__right_0") >= 2
+
+
 @pytest.fixture
 def hot(spark, conf):
     """A third of 120,000 rows share key 7 and, for the windows, one moment."""

@@ -167,14 +167,14 @@ def test_csv_dialect(spark, tmp_path):
     write_csv(df.repartition(1), path)
     (part,) = glob.glob(f"{path}/part-*")
     text = open(part, "rb").read().decode("utf-8")
-    assert text == '﻿a;b;"c;c";d;e;f\n"a,b";"c""d";;"e;f";"g\nh";plain\n'
+    assert text == '\ufeffa;b;"c;c";d;e;f\n"a,b";"c""d";;"e;f";"g\nh";plain\n'
 
 
 def test_every_csv_file_has_one_header(spark, tmp_path):
     path = str(tmp_path / "csv")
     write_csv(spark.range(100).repartition(3).sortWithinPartitions("id"), path)
     parts = [open(p, "rb").read().decode("utf-8") for p in glob.glob(f"{path}/part-*")]
-    assert len(parts) == 3 and all(p.startswith("﻿id\n") and p.count("id") == 1 for p in parts)
+    assert len(parts) == 3 and all(p.startswith("\ufeffid\n") and p.count("id") == 1 for p in parts)
     assert sorted(int(line) for p in parts for line in p.split("\n")[1:-1]) == list(range(100))
 
 

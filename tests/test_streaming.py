@@ -40,6 +40,21 @@ def test_latest_over_batches_is_the_batch_result(spark, tmp_path, table, rows):
     )
 
 
+def test_compacting_on_the_way_changes_nothing_and_bounds_the_files(spark, tmp_path, table, rows):
+    path = str(tmp_path / "latest")
+    expected = rows(latest_by(spark.read.parquet(table), KEYS, ORDER, TIE))
+    refresh.refresh_latest(_batches(spark, table), path, KEYS, ORDER, TIE, compact_every=2).awaitTermination()
+    assert rows(refresh.read_latest(spark, path, KEYS, ORDER, TIE)) == expected
+    assert len(list((tmp_path / "latest" / "changes").glob("batch_id=*"))) == 2
+    assert len(list((tmp_path / "latest" / "base").iterdir())) == 2
+    # The last batch once more, as after a failure between its write and its commit.
+    change = spark.read.parquet(f"{path}/changes/batch_id=5")
+    change.cache().count()
+    refresh._write_change(change, path, 5)
+    refresh.compact(spark, path, KEYS, ORDER, TIE)
+    assert rows(refresh.read_latest(spark, path, KEYS, ORDER, TIE)) == expected
+
+
 def test_replayed_batch_counts_once(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     batch = spark.createDataFrame([(1, "a")], "k int, v string")
