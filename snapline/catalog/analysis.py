@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapline.catalog import models as m
 from snapline.catalog.registry import query
+from snapline.functions.dates import fmt_day
 from snapline.functions.predicates import has_text, not_like_any, whitelist
 from snapline.operators import adhoc as sql_
 from snapline.operators import dashboard as dash
@@ -90,7 +91,7 @@ def _(spark, d):
     raw = project(lines, {
         "platform": F.col("l_suppkey"),
         "metrics": F.col("l_returnflag"),
-        "entry_date": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "entry_date": fmt_day("l_shipdate"),
         "cnt": F.when(F.col("l_returnflag") == "A", "n/a").otherwise((F.col("l_quantity") * 1.3).cast("string")),
     })
     return normalize_metrics(raw)
@@ -159,7 +160,7 @@ def _promo(spark: SparkSession, d: str) -> DataFrame:
         "promo_code": F.concat(F.lit("P"), F.col("l_partkey").cast("string")),
         "eligibility_status": F.col("l_returnflag"), "is_employee": F.col("o_orderstatus"),
         "has_services": (F.col("l_tax") > 0).cast("int"),
-        "entry_date": F.date_format("l_shipdate", "yyyy-MM-dd"), "id": F.col("l_orderkey"),
+        "entry_date": fmt_day("l_shipdate"), "id": F.col("l_orderkey"),
     })
 
 

@@ -63,7 +63,7 @@ def sample_series(catalogue: DataFrame, start_day: str, days: int = 60) -> DataF
         .select(
             "platform",
             "metrics",
-            F.date_format(F.date_sub(F.lit(start_day).cast("date"), F.col("back").cast("int")), "yyyy-MM-dd").alias("entry_date"),
+            F.date_sub(F.lit(start_day).cast("date"), F.col("back").cast("int")).cast("string").alias("entry_date"),
             (trend + noise).alias("cnt"),
         )
     )

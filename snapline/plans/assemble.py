@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapline.functions.dates import LOCAL_ZONE, fmt_day, fmt_ts, local_day_start, local_time, period_id, read_time
+from snapline.functions.dates import (
+    LOCAL_ZONE, fmt_day, fmt_ts, local_day_start, local_time, now_utc, period_id, read_time, utc_wall, wall_instant,
+)
 from snapline.functions.keys import bigint_of, key_of
 from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window, spread_join
 from snapline.operators.latest import latest_by
@@ -27,16 +30,34 @@ HISTORY_WIDTH = "1 day"
 Frames = Mapping[str, DataFrame]
 
 
-def driver_history(df: DataFrame, as_of: Column | DataFrame | str, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Orders created before the local day of ``as_of``, ``created_at`` as local time."""
-    rows = df.where(F.col("created_at") < local_day_start(as_of, zone))
-    return rows.withColumn("created_at", local_time("created_at", zone))
+AsOf = Column | DataFrame | str
+
+
+def _is_instant(df: DataFrame) -> bool:
+    """Relational sources deliver instants, files mostly UTC wall times."""
+    return isinstance(df.schema["created_at"].dataType, T.TimestampType)
+
+
+def _localised(df: DataFrame, zone: str) -> DataFrame:
+    created = utc_wall("created_at") if _is_instant(df) else F.col("created_at")
+    return df.withColumn("created_at", local_time(created, zone))
 
 
-def driver_recent(df: DataFrame, as_of: Column | DataFrame | str, zone: str = LOCAL_ZONE, days: int = 1) -> DataFrame:
-    """Orders created on the local day of ``as_of`` or up to ``days`` before, or later."""
-    rows = df.where(F.col("created_at") >= local_day_start(as_of, zone, days))
-    return rows.withColumn("created_at", local_time("created_at", zone))
+def _day_start(df: DataFrame, as_of: AsOf | None, zone: str, days: int) -> Column:
+    start = local_day_start(now_utc() if as_of is None else as_of, zone, days)
+    return wall_instant(start) if _is_instant(df) else start
+
+
+def driver_history(df: DataFrame, as_of: AsOf | None = None, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Orders created before the local day of ``as_of`` (now), ``created_at`` as local time."""
+    return _localised(df.where(F.col("created_at") < _day_start(df, as_of, zone, 0)), zone)
+
+
+def driver_recent(
+    df: DataFrame, as_of: AsOf | None = None, zone: str = LOCAL_ZONE, days: int = 1
+) -> DataFrame:
+    """Orders created on the local day of ``as_of`` (now), up to ``days`` before, or later."""
+    return _localised(df.where(F.col("created_at") >= _day_start(df, as_of, zone, days)), zone)
 
 
 def _customers(lookup: DataFrame, dedupe: bool) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from snapline.functions.dates import instant_day, wall_instant
 from snapline.operators.latest import latest_by
 from snapline.sources import files
 
@@ -103,15 +104,14 @@ def refresh_counts(
     The state is one row per day and ``dims``. A ``watermark`` closes older days, which
     makes it smaller still, but then later arrivals for a closed day are not counted.
     """
-    # Event time has to be an instant; under the same zone the way back is exact.
-    timed = stream.withColumn("__ts", F.col(ts).cast("timestamp"))
+    total = F.count(F.lit(1)).alias("cnt")
     if watermark:
-        timed = timed.withWatermark("__ts", watermark)
-    counts = (
-        timed.groupBy(F.window("__ts", "1 day").alias("__window"), *dims)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .select(F.to_date(F.col("__window.start")).alias("day"), *dims, "cnt")
-    )
+        # Event time has to be an instant.
+        timed = stream.withColumn("__at", wall_instant(ts)).withWatermark("__at", watermark)
+        counts = timed.groupBy(F.window("__at", "1 day").alias("__window"), *dims).agg(total)
+        counts = counts.select(instant_day("__window.start").alias("day"), *dims, "cnt")
+    else:
+        counts = stream.groupBy(F.to_date(ts).alias("day"), *dims).agg(total)
     return _start(counts, lambda batch, batch_id: _write_change(batch, path, batch_id), path, "update")
 
 

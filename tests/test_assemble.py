@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from snapline.functions.dates import read_time
+from snapline.functions.dates import read_time, wall_instant
 from snapline.plans.assemble import (
     SNAPSHOT_COLUMNS, assemble_history, assemble_recent, driver_history, driver_recent, history_sources, recent_sources,
 )
@@ -141,3 +141,20 @@ def test_drivers_share_one_day(spark):
     assert history == {1, 3, 4, 5, 7} and recent == {2, 6}
     wider = {r.id for r in driver_recent(orders, "2024-05-02 08:00:00").collect()}
     assert wider == {1, 2, 3, 4, 5, 6, 7}
+
+
+def test_drivers_take_instants_in_any_session_zone(spark, conf, rows):
+    expected = rows(driver_history(_orders(spark), "2024-05-03 08:00:00"))
+    utc = _orders(spark).withColumn("created_at", wall_instant("created_at"))
+    conf(spark__sql__session__timeZone="America/New_York")
+    assert dict(utc.dtypes)["created_at"] == "timestamp"
+    assert rows(driver_history(utc, "2024-05-03 08:00:00")) == expected
+    as_of = spark.sql("SELECT timestamp_ntz'2024-05-03 08:00:00' AS t")
+    assert rows(driver_history(utc, as_of)) == expected
+
+
+def test_drivers_default_to_now(spark):
+    orders = spark.sql("""SELECT id, now() - make_dt_interval(int(id)) AS created_at FROM range(-2, 6)""")
+    history = {r.id for r in driver_history(orders).collect()}
+    recent = {r.id for r in driver_recent(orders).collect()}
+    assert history == {1, 2, 3, 4, 5} and recent == {-2, -1, 0, 1}

@@ -1,7 +1,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from snapline.functions.dates import fmt_day, fmt_ts, local_day_start, local_time, period_id, read_time
+from snapline.functions.dates import fmt_day, fmt_ts, instant_day, local_day_start, local_time, period_id, read_time, wall_instant
 from snapline.functions.keys import is_number_text, key_of, safe_bigint, to_key, truncated_bigint
 from snapline.functions.predicates import has_text, not_like_any, whitelist
 
@@ -76,3 +76,12 @@ def test_predicates(spark):
 def test_like_wildcards_stay_wildcards(spark):
     df = spark.createDataFrame([("detail_promo_1",), ("detailXpromoY1",), ("other",)], "e string")
     assert [r[0] for r in df.where(not_like_any("e", ["detail_promo_%", "company_promo_%"])).collect()] == ["other"]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, conf):
+    conf(spark__sql__session__timeZone="America/New_York")
+    df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.5' AS t")
+    row = df.select(fmt_ts("t"), fmt_day("t"), period_id("t"), instant_day(wall_instant("t")), local_time("t")).first()
+    assert [str(v) for v in row] == ["2024-03-10 02:30:00", "2024-03-10", "202403", "2024-03-10", "2024-03-10 07:30:00.500000"]
+    early = spark.sql("SELECT timestamp_ntz'1969-12-31 23:00:00' AS t")
+    assert str(early.select(instant_day(wall_instant("t"))).first()[0]) == "1969-12-31"

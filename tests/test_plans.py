@@ -60,6 +60,7 @@ def test_filters_reach_the_scan(spark, conf):
     conf(spark__sql__maxMetadataStringLength="2000")
     orders = spark.read.parquet(f"{SMALL}/orders.parquet").withColumnRenamed("o_orderdate", "created_at")
     assert "LessThan(o_orderdate,1999-" in _scan_filters(driver_history(orders, "1999-05-01 12:00:00"))
+    assert re.search(r"LessThan\(o_orderdate,20\d\d-", _scan_filters(driver_history(orders)))
     newest = orders.agg(F.max("created_at"))
     assert "LessThan(o_orderdate,ScalarSubquery" in _scan_filters(driver_history(orders, newest))
     page = grid_page_after(orders, "o_totalprice", True, "o_orderkey", (1000.0, 5))
