@@ -203,6 +203,23 @@ def _(spark, d):
     return dash.bar(_data(spark, d), w["x"], w["y"], w["agg"])
 
 
+@query("bar_by_channel", m.with_(m.DATA) + """SELECT sales_channel_name AS x, CAST(count(id) AS DOUBLE) AS y FROM data
+WHERE status = 'O' GROUP BY 1""")
+def _(spark, d):
+    return dash.dashboard(_data(spark, d), ORDER_DASHBOARD, {"status": "O"})["widgets"][2]
+
+
+@query("promo_by_eligibility", m.with_(PROMO) + "SELECT eligibility_status AS x, CAST(count(id) AS DOUBLE) AS y FROM promo GROUP BY 1")
+def _(spark, d):
+    return dash.dashboard(_promo(spark, d), PROMO_DASHBOARD)["widgets"][1]
+
+
+@query("promo_by_day", m.with_(PROMO) + """SELECT entry_date AS x, 'all' AS s, CAST(count(participation_number) AS DOUBLE) AS y
+FROM promo WHERE is_employee = 'F' GROUP BY 1""")
+def _(spark, d):
+    return dash.dashboard(_promo(spark, d), PROMO_DASHBOARD, {"is_employee": "F", "promo_code": "__all__"})["widgets"][0]
+
+
 @query("bar_topn", m.with_(PROMO) + """SELECT promo_code AS x, CAST(count(participation_number) AS DOUBLE) AS y FROM promo
 GROUP BY 1 ORDER BY y DESC, x NULLS LAST LIMIT 10""")
 def _(spark, d):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,12 @@ def _(spark, d):
     return assemble.assemble_recent(recent_frames(spark, d), tables.RECENT_TIEBREAK)
 
 
+def _key(spark: SparkSession):
+    path = f"{scratch(spark, 'key')}.bin"
+    files.write_bytes(spark, path, bytes(range(32)))
+    return key_from_file(spark, path)
+
+
 def _built(spark: SparkSession, spec) -> DataFrame:
     path = scratch(spark, spec.name)
     manifest = run_pipeline(spark, spec, path)
@@ -69,6 +77,46 @@ def _(spark, d):
     return _built(spark, recent_spec(d))
 
 
+_SOURCE_COUNTS = m.with_(m.CUSTOMER_ORDERS, m.DRIVER_HISTORY, m.CRM_IDS) + """
+SELECT 'data' AS table_name, count(*) AS row_count FROM driver d
+  WHERE crm_order_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM crm_ids WHERE k = d.crm_order_id)
+UNION ALL SELECT 'customer_orders', count(*) FROM driver
+UNION ALL SELECT 'cust_order_full', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE EXISTS (SELECT 1 FROM driver WHERE customer_id = o_custkey)
+UNION ALL SELECT 'crm_cust_order_ids', count(*) FROM crm_ids WHERE EXISTS (SELECT 1 FROM driver WHERE crm_order_id = k)
+UNION ALL SELECT 'crm_customer', count(*) FROM customer WHERE EXISTS (SELECT 1 FROM driver WHERE customer_id = c_custkey)"""
+
+
+@query("build_history_sources", _SOURCE_COUNTS)
+def _(spark, d):
+    path = scratch(spark, "sources")
+    run_pipeline(spark, history_spec(d, export=assemble.history_sources), path)
+    return table_counts(snapshot_views(spark, path))
+
+
+@query("build_recent_sources", m.with_(m.CUSTOMER_ORDERS, m.DRIVER_RECENT, m.DAY_LATEST) + """
+SELECT 'data' AS table_name, count(*) AS row_count FROM driver
+UNION ALL SELECT 'customer_orders', count(*) FROM driver
+UNION ALL SELECT 'cust_order_day_detail', count(*) FROM day_latest WHERE EXISTS (SELECT 1 FROM driver WHERE crm_order_id = l_orderkey)
+UNION ALL SELECT 'crm_customer', count(*) FROM customer WHERE EXISTS (SELECT 1 FROM driver WHERE customer_id = c_custkey)""")
+def _(spark, d):
+    path = scratch(spark, "sources")
+    export = partial(assemble.recent_sources, tiebreak=tables.RECENT_TIEBREAK)
+    run_pipeline(spark, recent_spec(d, export=export), path)
+    return table_counts(snapshot_views(spark, path))
+
+
+@query("build_history_encrypted", m.history_sql(DAYS))
+def _(spark, d):
+    path = scratch(spark, "encrypted")
+    key = _key(spark)
+    spec = history_spec(d, width=f"{DAYS} days", encrypt=assemble.PERSONAL_COLUMNS)
+    manifest = run_pipeline(spark, spec, path, key)
+    if manifest.error or not manifest.encrypted:
+        raise RuntimeError(manifest.error or "nothing was encrypted")
+    return read_snapshot(spark, path, key)
+
+
 # --- scans ----------------------------------------------------------------------
 
 @query("scan_driver", m.with_(m.CUSTOMER_ORDERS) + "SELECT * FROM customer_orders")
@@ -321,9 +369,7 @@ def _(spark, d):
 @query("encrypt_roundtrip", m.with_(m.CRM_CUSTOMERS) + """SELECT customer_key, name, identification_number, mobile_phone,
   28 + strlen(name) AS name_bytes FROM crm_customers""")
 def _(spark, d):
-    path = f"{scratch(spark, 'key')}.bin"
-    files.write_bytes(spark, path, bytes(range(32)))
-    key = key_from_file(spark, path)
+    key = _key(spark)
     people = tables.model(spark, d, "crm_customer").withColumn("customer_key", to_key("customer_id")).drop("customer_id")
     closed = encrypt_columns(people, assemble.PERSONAL_COLUMNS, key)
     closed = closed.withColumn("name_bytes", F.octet_length("name").cast("bigint"))

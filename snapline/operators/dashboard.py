@@ -14,10 +14,16 @@ from snapline.session import reliable_checkpoint
 ALL = "__all__"
 
 
-def agg_expr(agg: str, field: str) -> Column:
-    """The aggregate as DOUBLE; an unknown name means sum."""
+def agg_expr(agg: str, field: str, approximate: bool = False) -> Column:
+    """The aggregate as DOUBLE; an unknown name means sum.
+
+    Each exact distinct count multiplies the rows that are aggregated; with
+    ``approximate`` it becomes a sketch and the panel stays one pass of constant size.
+    """
     if agg == "count":
         value = F.count(field)
+    elif agg == "count_distinct" and approximate:
+        value = F.approx_count_distinct(field)
     elif agg == "count_distinct":
         value = F.count_distinct(F.col(field))
     elif agg == "avg":
@@ -37,11 +43,14 @@ def equality_filters(df: DataFrame, filters: Mapping[str, Any] | None) -> DataFr
 
 
 def kpis(
-    df: DataFrame, specs: Sequence[Mapping[str, str]], filters: Mapping[str, Any] | None = None
+    df: DataFrame,
+    specs: Sequence[Mapping[str, str]],
+    filters: Mapping[str, Any] | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
     """One row ``k0, k1, ...``; every aggregate comes from one pass, NULL shows as 0."""
     values = [
-        F.coalesce(agg_expr(s["agg"], s["field"]), F.lit(0.0)).alias(f"k{i}")
+        F.coalesce(agg_expr(s["agg"], s["field"], approximate), F.lit(0.0)).alias(f"k{i}")
         for i, s in enumerate(specs)
     ]
     return equality_filters(df, filters).agg(*values)

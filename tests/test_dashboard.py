@@ -20,6 +20,12 @@ def test_kpis(spark):
     assert {t for _, t in df.dtypes} == {"double"}
 
 
+def test_approximate_kpis_need_no_expansion(spark):
+    df = kpis(_data(spark), SPECS, approximate=True)
+    assert df.first()[1] == 2.0
+    assert "Expand" not in df._jdf.queryExecution().toString()
+
+
 def test_kpis_of_nothing_are_zero(spark):
     assert tuple(kpis(_data(spark), SPECS, {"s": "zzz"}).first()) == (0.0,) * 5
 

@@ -23,11 +23,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final_plan(df) -> str:
-    """The plan adaptive execution ended with; the sum keeps every row and column in it."""
-    total = df.select(F.sum(F.hash(*df.columns).cast("bigint")))
-    total.collect()
-    return plan(total).split("== Initial Plan ==")[0]
+def run(df) -> tuple[str, tuple]:
+    """The plan adaptive execution ended with, and a digest of every row and column."""
+    total = df.select(F.count("*"), F.sum(F.hash(*df.columns).cast("bigint")))
+    digest = tuple(total.collect()[0])
+    return plan(total).split("== Initial Plan ==")[0], digest
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -123,14 +123,17 @@ def _cases(hot, other):
 
 
 @pytest.mark.parametrize("name", ["restrict", "not in", "window", "left", "two lookups"])
-def test_hot_keys_are_split(hot, other, name):
-    text = final_plan(_cases(hot, other)[name])
+def test_hot_keys_are_split_and_nothing_is_lost(hot, other, name, conf):
+    text, digest = run(_cases(hot, other)[name])
     assert text.count("skew=true") == (2 if name == "two lookups" else 1)
+    conf(spark__sql__adaptive__skewJoin__enabled="false")
+    unsplit, expected = run(_cases(hot, other)[name])
+    assert "skew=true" not in unsplit and digest == expected and digest[0] > 40_000
 
 
 def test_joining_a_ranked_side_in_place_would_not_split(hot, other):
     newest = latest_by(other, ["ok"], ["v"])
-    assert "skew=true" not in final_plan(hot.join(newest, F.col("k") == F.col("ok"), "left"))
+    assert "skew=true" not in run(hot.join(newest, F.col("k") == F.col("ok"), "left"))[0]
 
 
 def test_dense_grid_is_whole(spark):
