@@ -39,6 +39,17 @@ def test_snapshot_roundtrip_and_manifest(spark, tmp_path):
     assert {tuple(r) for r in table_counts(frames).collect()} == {("data", 1000), ("raw", 7)}
 
 
+def test_empty_snapshots_are_published(spark, tmp_path, seed):
+    """The count arrives even where the optimizer replaces the plan by nothing."""
+    table = spark.read.parquet(seed)
+    empty = {"folded": table.where("false"), "limit": table.limit(0), "filter": table.where("id < 0"),
+             "sorted": table.where("id < 0").orderBy("id"), "joined": table.where("id < 0").join(table, "id").orderBy("id")}
+    for name, df in empty.items():
+        path = str(tmp_path / name)
+        assert write_snapshot(df, path, sources={"s": df}).source_tables_info == [{"name": "s", "row_count": 0}]
+        assert read_snapshot(spark, path).count() == 0
+
+
 def test_a_source_that_fails_is_left_out_and_one_that_vanished_is_skipped(spark, tmp_path):
     path = str(tmp_path / "s")
     broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
