@@ -259,6 +259,22 @@ def _(spark, d):
     return grid.grid_search(_data(spark, d), " ER%5_0 ")
 
 
+_LINE_ILIKE = " OR ".join(f"CAST({c} AS VARCHAR) ILIKE '%123.%'" for c in (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate"))
+
+
+@query("grid_search_doubles", f"SELECT * FROM lineitem WHERE {_LINE_ILIKE}")
+def _(spark, d):
+    return grid.grid_search(tables.table(spark, d, "lineitem"), "123.")
+
+
+@query("filter_values_doubles", """SELECT CAST(l_discount AS VARCHAR) AS v, false AS truncated FROM lineitem
+WHERE l_discount IS NOT NULL GROUP BY 1""")
+def _(spark, d):
+    return grid.filter_values(tables.table(spark, d, "lineitem"), "l_discount")
+
+
 @query("grid_value_filter", m.with_(m.DATA) + """SELECT * FROM data
 WHERE (type_name IN ('1-URGENT', '5-LOW') OR type_name IS NULL) AND CAST(customer_id AS VARCHAR) IN ('1', '2', '3', '40')""")
 def _(spark, d):

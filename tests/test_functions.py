@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from snapline.functions.dates import fmt_day, fmt_ts, instant_day, local_day_start, local_time, period_id, read_time, wall_instant
 from snapline.functions.keys import is_number_text, key_of, safe_bigint, to_key, truncated_bigint
+from snapline.functions.texts import text_of
 from snapline.functions.predicates import has_text, not_like_any, whitelist
 
 
@@ -85,3 +86,13 @@ def test_times_do_not_depend_on_the_session_zone(spark, conf):
     assert [str(v) for v in row] == ["2024-03-10 02:30:00", "2024-03-10", "202403", "2024-03-10", "2024-03-10 07:30:00.500000"]
     early = spark.sql("SELECT timestamp_ntz'1969-12-31 23:00:00' AS t")
     assert str(early.select(instant_day(wall_instant("t"))).first()[0]) == "1969-12-31"
+
+
+def test_double_text_is_the_sql_text(spark):
+    numbers = [
+        1e7, 12345678.9, 1e15, 9007199254740993.0, 1e16, 123456789012345678.0, 0.001, 0.0001, 0.00012345678901234567, 1e-5,
+        1.5e-5, 0.0, 0.1, 1e22, 2.5e-300, 1.7976931348623157e308, -1e8, -1e-7, 999999.5, float("nan"), float("inf"), -float("inf"),
+    ]
+    df = spark.createDataFrame([(n,) for n in numbers] + [(None,)], "d double")
+    expected = [duckdb.execute("SELECT CAST(? AS VARCHAR)", [n]).fetchall()[0][0] for n in numbers]
+    assert [r[0] for r in df.select(text_of(df, "d")).collect()] == [*expected, None]
