@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snapline.llm.decontaminate import decontaminate
+from snapline.llm.language import languages
+from snapline.llm.pack import pack
+from snapline.llm.pii import personal_data
 from snapline.llm.registry import query, table
+from snapline.llm.simhash import near_duplicates
+from snapline.llm.sketch import edited_fingerprints
+from snapline.llm.toxicity import toxicity
+from snapline.llm.urls import filter_urls
 
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -33,3 +40,44 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 @query("op1_decontaminate", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+# Fixed values.
+URL_RULES = (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+)
+
+
+@query("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op9_pack")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_near_duplicates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
