@@ -9,6 +9,7 @@ from snapline.llm.language import languages
 from snapline.llm.pack import pack
 from snapline.llm.pii import personal_data
 from snapline.llm.registry import query, table
+from snapline.llm.repeats import remove_repeats
 from snapline.llm.simhash import near_duplicates
 from snapline.llm.sketch import edited_fingerprints
 from snapline.llm.toxicity import toxicity
@@ -57,6 +58,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op7_personal_data")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
