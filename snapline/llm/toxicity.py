@@ -3,21 +3,25 @@
 Two word models, toxic and ordinary, with absolute discounting:
 
     P_c(w | v) = max(n_c(vw) - D, 0) / n_c(v) + g_c(v) * P_c(w)
-    P_c(w)     = max(n_c(w) - D, 0) / n_c + g_c * P(w)
+    P_c(w)     = (max(n_c(w) - D, 0) + M * n_c / n) / (all of these)
 
-P(w), the last backoff, is shared: in how many different words' company w occurs in either class.
-So an expression that one class has rarely seen is judged by what both know. A text's score comes
-from the difference of its two log-likelihoods per word, turned into a probability by a logistic
-curve that is fitted on labelled texts which the counts have not seen.
+The last backoff is shared: both classes grant every word the same M occurrences, in proportion to
+their sizes, so an expression that was seen a few times in one class alone says little. (Shares by
+the number of preceding words instead, which grow with a word's own count, let two occurrences
+weigh like a hundred: on the tables of sf0.1 the held-out AUC fell from 0.94 to 0.87.) A text's
+evidence is the difference of its two log-likelihoods per word, less the median word's, which only
+tells what language and subject the labelled texts of each class favour. A logistic curve, fitted on
+labelled texts that the counts have not seen, turns it into a probability.
 
 Counts cover all labelled rows and are summed by Spark. The model that the tasks get is of fixed
-size: words are hashed to ``WORD_BITS`` bits, and of the word pairs the ``PAIRS`` most frequent keep
-counts of their own (the mass of the others goes to the backoff, as discounted mass does).
+size: words are hashed to ``WORD_BITS`` bits, and of the word pairs seen ``PAIR_LEAST`` times the
+``PAIRS`` most frequent keep counts of their own (the mass of the others goes to the backoff, as
+discounted mass does).
 
 Defined results: null and empty texts have no words and get the curve's value at no evidence;
 labels that are null are ignored; of several labels of an id the toxic one counts; rows without a
 label, or with a null id, are scored but not learned from; no labels of one class: nothing is known
-against any text, every score is the share of toxic labels.
+against any text, every score is the share of toxic labels; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ from snapline.llm.arrays import row_slices, text_bytes, words_of
 from snapline.session import scratch
 
 WORD_BITS = 20
-PAIRS = 1 << 17
-DISCOUNT = 0.75
+PAIRS, PAIR_LEAST = 1 << 17, 100
+DISCOUNT, GRANTED = 0.75, 4.0
 THRESHOLD = 0.3
 # Labelled rows up to which the label table is broadcast (9 bytes each); beyond, it is a shuffled join.
 BROADCAST_LABELS = 2_000_000
@@ -74,8 +78,12 @@ class Model:
         place = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
         hit = self.pairs[place] == key if len(self.pairs) else np.zeros(len(key), bool)
         p[:, deep[hit]] += self.pair[:, place[hit]]
-        total = np.concatenate([[0.0], np.cumsum(np.log(p[0]) - np.log(p[1]))])
-        return (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(n, 1), n
+        ratio = np.log(p[0]) - np.log(p[1])
+        total = np.concatenate([[0.0], np.cumsum(ratio)])
+        mean = (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(n, 1)
+        row = np.repeat(np.arange(len(n)), n)
+        middle = np.minimum(found.first[:-1] + n // 2, len(w) - 1)
+        return np.where(n > 0, mean - ratio[np.lexsort((ratio, row))][middle], 0.0), n
 
     def probability(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_features(x, n) @ self.curve, -30, 30)))
@@ -136,30 +144,30 @@ def _model(counts: DataFrame) -> Model | None:
     """From the pair counts; what comes to the driver has the fixed sizes of a model."""
     words = 1 << WORD_BITS
     w = F.col("key").bitwiseAND(F.lit(words - 1))
-    pair = F.shiftright("key", 2 * WORD_BITS) == 0
-    by_word = counts.groupBy(w.cast("int").alias("w")).agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.sum(pair.cast("long")).alias("company")
-    ).toArrow()
-    best = counts.where(pair).orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "key").limit(PAIRS).toArrow()
+    by_word = counts.groupBy(w.cast("int").alias("w")).agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
+    seen = F.col("toxic") + F.col("ordinary")
+    pair = (F.shiftright("key", 2 * WORD_BITS) == 0) & (seen >= PAIR_LEAST)
+    best = counts.where(pair).orderBy(F.desc(seen), "key").limit(PAIRS).toArrow()
     number = lambda table, name: table.column(name).to_numpy().astype(np.float64)
     place = by_word.column("w").to_numpy()
-    n, company = np.zeros((2, words)), np.zeros(words)
-    n[0, place], n[1, place], company[place] = number(by_word, "toxic"), number(by_word, "ordinary"), number(by_word, "company")
+    n = np.zeros((2, words))
+    n[0, place], n[1, place] = number(by_word, "toxic"), number(by_word, "ordinary")
+    return made_model(n, best.column("key").to_numpy(), np.stack([number(best, "toxic"), number(best, "ordinary")]))
+
+
+def made_model(n: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model | None:
+    """From the counts of all words and of the kept pairs, per class."""
     total = n.sum(axis=1, keepdims=True)
     if not total.all():
         return None
-    shared = (company + 1) / (company.sum() + words)
-    own = np.maximum(n - DISCOUNT, 0) / total
-    word = own + (1 - own.sum(axis=1, keepdims=True)) * shared
-
-    key = best.column("key").to_numpy()
+    word = np.maximum(n - DISCOUNT, 0) + GRANTED * total / total.sum()
+    word /= word.sum(axis=1, keepdims=True)
     order = np.argsort(key)
-    key = key[order]
-    count = np.stack([number(best, "toxic"), number(best, "ordinary")])[:, order]
+    key, count = key[order], count[:, order]
     v = key >> WORD_BITS
-    pair_part = np.maximum(count - DISCOUNT, 0) / np.maximum(n[:, v], 1)
-    given = np.stack([np.bincount(v, weights=p, minlength=words) for p in pair_part])
-    return Model(word.astype(np.float32), np.maximum(1 - given, 1e-6).astype(np.float32), key, pair_part.astype(np.float32), np.zeros(4))
+    pair = np.maximum(count - DISCOUNT, 0) / np.maximum(n[:, v], 1)
+    given = np.stack([np.bincount(v, weights=p, minlength=n.shape[1]) for p in pair])
+    return Model(word.astype(np.float32), np.maximum(1 - given, 1e-6).astype(np.float32), key, pair.astype(np.float32), np.zeros(4))
 
 
 def _evidence(docs: DataFrame, model, columns: list[str], schema: str, finish) -> DataFrame:
