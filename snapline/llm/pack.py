@@ -35,28 +35,44 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 
 # Words whose ids a worker remembers, and the longest of them (characters).
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 1_000_000, 48
 
-# A single space between two plain characters always begins a new token, so what lies
-# between such spaces can be tokenised by itself, once for all its occurrences.
+# A single space or line break between two plain characters always begins a new token, so what lies
+# between them can be tokenised by itself, once for all its occurrences. So can letters, and signs
+# (other than an apostrophe) after them.
 _PLAIN = r"[!-~¡-ɏ]"
+_IS_PLAIN = re.compile(_PLAIN).match
 _SPLIT = re.compile(rf"(?<={_PLAIN}) (?={_PLAIN})")
+_BREAK = re.compile(rf"(?<={_PLAIN})\n(?={_PLAIN})")
+_LETTERS_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
+
+
+class _OddSpace(Exception):
+    """A space that is not between two plain characters."""
 
 
 class _Ids(dict):
-    """Word (after a space, if ``space``) to the little-endian 32-bit ids of its tokens."""
+    """Word to the little-endian 32-bit ids of its tokens: at a text's begin, or after a space."""
 
-    def __init__(self, tokenizer: Tokenizer, space: str):
+    def __init__(self, tokenizer: Tokenizer, first: _Ids | None = None):
         super().__init__()
-        self.tokenizer, self.space = tokenizer, space
+        self.tokenizer, self.space, self.first = tokenizer, " " * (first is not None), self if first is None else first
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(self.space + word, add_special_tokens=False).ids
-        made = np.array(ids, dtype="<u4").tobytes()
+        if self.space and not (_IS_PLAIN(word) and _IS_PLAIN(word[-1])):
+            raise _OddSpace
+        if len(lines := _BREAK.split(word)) > 1:
+            return self[lines[0]] + b"".join(self.first["\n"] + self.first[line] for line in lines[1:])
+        if parts := _LETTERS_SIGNS.fullmatch(word):
+            return self[parts[1]] + self.first[parts[2]]
+        made = self.encoded(word)
         if len(self) < REMEMBERED and len(word) <= LONGEST:
             self[word] = made
         return made
 
+    def encoded(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(self.space + word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
 
 _memory: dict[str, tuple[_Ids, _Ids]] = {}
 
@@ -66,11 +82,19 @@ def token_bytes(text: str, file: str = TOKENIZER) -> bytes:
     if file not in _memory:  # once per worker process
         tokenizer = Tokenizer.from_file(public_tokenizers.path(file) if "/" not in file else file)
         tokenizer.encode_special_tokens = True
-        _memory[file] = (_Ids(tokenizer, ""), _Ids(tokenizer, " "))
+        first = _Ids(tokenizer)
+        _memory[file] = (first, _Ids(tokenizer, first))
     first, rest = _memory[file]
-    words = _SPLIT.split(text)
-    head = first[words[0]] if words[0] else b""
-    return head + b"".join(map(rest.__getitem__, words[1:])) if len(words) > 1 else head
+    words = text.split(" ")
+    try:
+        if words[0] and not _IS_PLAIN(words[0][-1]) and len(words) > 1:
+            raise _OddSpace
+        ids = [first[words[0]], *map(rest.__getitem__, words[1:])] if words[0] else [first[text]]
+    except _OddSpace:
+        words = _SPLIT.split(text)
+        ids = [first[words[0]], *map(rest.encoded, words[-1:] if len(words) > 1 else [])]
+        ids[1:1] = map(rest.__getitem__, words[1:-1])
+    return b"".join(ids)
 
 
 def capacities(tokens: int, sequence: int = SEQUENCE) -> list[int]:
