@@ -61,11 +61,12 @@ class _Ids(dict):
     def __missing__(self, word: str) -> bytes:
         if self.space and not (_IS_PLAIN(word) and _IS_PLAIN(word[-1])):
             raise _OddSpace
-        if len(lines := _BREAK.split(word)) > 1:
-            return self[lines[0]] + b"".join(self.first["\n"] + self.first[line] for line in lines[1:])
-        if parts := _LETTERS_SIGNS.fullmatch(word):
-            return self[parts[1]] + self.first[parts[2]]
-        made = self.encoded(word)
+        if "\n" in word and len(lines := _BREAK.split(word)) > 1:
+            made = self[lines[0]] + b"".join(self.first["\n"] + self.first[line] for line in lines[1:])
+        elif parts := _LETTERS_SIGNS.fullmatch(word):
+            made = self[parts[1]] + self.first[parts[2]]
+        else:
+            made = self.encoded(word)
         if len(self) < REMEMBERED and len(word) <= LONGEST:
             self[word] = made
         return made

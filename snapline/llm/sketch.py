@@ -7,7 +7,7 @@ kept in any case, so that only texts without words have an empty sketch.
 
 Defined results: a null text is empty; sketches of texts without words are empty, and alike by 1 to
 each other and by 0 to others; the next document of an id is the one with the next smaller id (null
-last), after the last the first, and of rows that share an id the smallest text stands for it; a
+last), after the last the first, and of rows that share an id the one with the smallest MD5 of its text stands for it; a
 single id is its own next one; other columns are ignored.
 """
 
@@ -16,12 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapline.operators.joins import spread_join
 from snapline.session import scratch
 
 SHINGLE = 3
 # One hash in 2^3 is kept; a kept hash is written as its upper 32 bits.
 SCALE_BITS = 3
 _LOWEST = -(1 << 63)
+# Ids up to which the table of next ids (three numbers a row) is broadcast; beyond, it is a shuffled join.
+BROADCAST_IDS = 2_000_000
 
 
 def sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -36,7 +39,7 @@ def sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
     )
     df = df.withColumn("__hashes", hashed)
     kept = F.concat(F.filter("__hashes", lambda h: h < _LOWEST + (1 << (64 - SCALE_BITS))), F.filter(F.array(F.array_min("__hashes")), lambda h: h.isNotNull()))
-    bits = F.transform(kept, lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.lit(_LOWEST)), 32))
+    bits = F.transform(kept, lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.lit(_LOWEST)), 32).cast("int"))
     return df.withColumn(name, F.array_sort(F.array_distinct(bits))).drop("__words", "__hashes")
 
 
@@ -75,26 +78,32 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The edited text has its last third replaced by the next document's beginning. Texts are
-    exchanged by id once; only the needed beginnings and the sketches travel to the document before.
+    exchanged by id once, and with them only the beginnings that the document before needs.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # A null id is an id like others here; no other one is written as empty text.
+    rows = rows.withColumn("key", F.coalesce(F.col("id").cast("string"), F.lit("")))
     third = (F.length("text") / 3).cast("int")
-    needed = rows.groupBy("id").agg(F.max(third).alias("need"))
-    spark = docs.sparkSession
     path = scratch(spark, "needed")
-    needed.write.parquet(path)
+    rows.groupBy("key", "id").agg(F.max(third).alias("need"), F.count("*").alias("rows")).write.parquet(path)
     needed = spark.read.parquet(path)
-    before = next_ids(needed).join(needed.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i"))).select(
-        F.col("id").alias("before"), "next", "need"
-    )
-    sketched = sketch(rows, "text", "own")
-    first = sketched.groupBy("id").agg(F.min(F.struct("text", "own")).alias("least"))
-    begins = first.join(before, F.col("id").eqNullSafe(F.col("next"))).select(
-        "before", F.col("least.text").substr(F.lit(1), F.col("need")).alias("begin"), F.col("least.own").alias("theirs")
-    )
+    n_ids, n_rows = needed.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    after = next_ids(needed).select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("before"), F.coalesce(F.col("next").cast("string"), F.lit("")).alias("next"))
+    after = after.join(needed.select("key", "need"), F.col("before") == F.col("key")).select("before", "next", "need")
+    path = scratch(spark, "next")
+    after.write.parquet(path)
+    after = spark.read.parquet(path)
+    own = sketch(rows, "text", "theirs").select("key", F.md5("text").alias("digest"), "text", "theirs")
+    own = own.join(F.broadcast(after), F.col("key") == F.col("next")) if n_ids <= BROADCAST_IDS else spread_join(own, after, [("key", "next")], "inner")
+    begins = own.select("before", "digest", F.col("text").substr(F.lit(1), F.col("need")).alias("begin"), "theirs")
+    if n_ids < n_rows:
+        least = begins.groupBy("before").agg(F.min(F.struct("digest", "begin", "theirs")).alias("least"))
+        begins = least.select("before", "least.begin", "least.theirs")
     n = F.length("text")
     edited = F.concat(F.col("text").substr(F.lit(1), n - third), F.col("begin").substr(F.lit(1), third))
-    joined = sketched.join(begins, F.col("id").eqNullSafe(F.col("before"))).select("id", n.alias("n_chars"), "own", "theirs", edited.alias("edited"))
+    joined = spread_join(rows, begins.select("before", "begin", "theirs"), [("key", "before")], "inner")
+    joined = sketch(joined.select("id", "text", n.alias("n_chars"), "theirs", edited.alias("edited")), "text", "own")
     made = sketch(joined, "edited", "changed")
     return made.select(
         F.col("id").alias("doc_id"),
