@@ -1,0 +1,73 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from snapline.llm import repeats as R
+from snapline.llm.suffixes import permuted_prefixes, suffix_array
+from tests.llm.conftest import words
+
+
+def brute(texts, size=400):
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + size] for r in raws for i in range(len(r) - size + 1))
+    for r in raws:
+        cover = bytearray(len(r))
+        for i in range(len(r) - size + 1):
+            if seen[r[i : i + size]] > 1:
+                cover[i : i + size] = b"\1" * size
+        kept = bytes(b for b, c in zip(r, cover) if not c)
+        yield len(r), sum(cover), len([x for x in bytes(cover).split(b"\0") if x]), hashlib.sha256(kept).hexdigest()
+
+
+def test_suffix_array():
+    drawn = np.random.default_rng(0)
+    for trial in range(150):
+        t = drawn.integers(0, 1 + trial % 5, drawn.integers(0, 50))
+        assert suffix_array(t, 5, 100).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+
+
+def test_permuted_prefixes():
+    raw = np.frombuffer(("abracadabra " * 8 + "x").encode(), np.uint8)
+    sa = suffix_array(raw, 256, 48)
+    got = permuted_prefixes(np.concatenate([raw, np.zeros(56, np.uint8)]), sa, 48)
+    for a, b in zip(sa, sa[1:]):
+        n = 0
+        while n < 48 and b + n < len(raw) and a + n < len(raw) and raw[a + n] == raw[b + n]:
+            n += 1
+        assert got[b] == n // 8 * 8 or b + n == len(raw) or a + n == len(raw)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    drawn, passage, long = random.Random(3), words(70, 1), words(300, 2)
+    made = [words(drawn.randrange(10, 60), 100 + i) + passage + words(drawn.randrange(10, 60), 200 + i) for i in range(25)]
+    made += [long, long, long[:900] + "!" + long[901:], "é" + long[5:700], "a" * 3000, "ab" * 700, "x" * 399, "y" * 400, None, "", "\0" * 900, "\0" * 400]
+    return made + [words(40, 7), words(400, 9) + words(400, 9)]
+
+
+@pytest.mark.parametrize(("crowd", "broadcast"), [(500, 1_000_000), (4, 1_000_000), (500, 0)])
+def test_against_brute_force(llm, texts, monkeypatch, crowd, broadcast):
+    monkeypatch.setattr(R, "CROWD", crowd)
+    monkeypatch.setattr(R, "BROADCAST_ROWS", broadcast)
+    docs = llm.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in R.remove_repeats(docs).collect()]
+    want = [(i if i % 9 else None, *e) for i, e in enumerate(brute(texts))]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert sum(w[2] > 0 for w in want) > 25
+
+
+def test_table(llm, messy, nothing):
+    short = messy.where("doc_id <> 5 OR doc_id IS NULL")
+    rows = short.collect()
+    want = [(r.doc_id, *e) for r, e in zip(rows, brute([r.text for r in rows]))]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in R.remove_repeats(short).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert R.remove_repeats(nothing).count() == 0
+
+
+def test_very_long_text(messy):
+    row = R.remove_repeats(messy.where("doc_id = 5")).first()
+    assert row.n_removed == 1_200_000 and row.n_spans == 1
