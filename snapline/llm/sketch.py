@@ -39,13 +39,13 @@ def sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
     )
     df = df.withColumn("__hashes", hashed)
     kept = F.concat(F.filter("__hashes", lambda h: h < _LOWEST + (1 << (64 - SCALE_BITS))), F.filter(F.array(F.array_min("__hashes")), lambda h: h.isNotNull()))
-    bits = F.transform(kept, lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.lit(_LOWEST)), 32).cast("int"))
+    bits = F.transform(kept, lambda h: F.shiftright(h, 32).cast("int").bitwiseXOR(F.lit(-(1 << 31))))
     return df.withColumn(name, F.array_sort(F.array_distinct(bits))).drop("__words", "__hashes")
 
 
 def text_form(name: str) -> Column:
     """A sketch as a string, eight hexadecimal digits a hash."""
-    return F.concat_ws("", F.transform(name, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))))
+    return F.concat_ws("", F.transform(name, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))), 8, "0"))))
 
 
 def likeness(a: str, b: str) -> Column:

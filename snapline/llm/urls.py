@@ -79,15 +79,19 @@ def judge(pages: DataFrame, labelled: DataFrame, columns: Sequence[str], limit:
     drawn = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(min(1.0, limit / max(n, 1)) * (1 << 30)))
     known = drawn.groupBy("suffix").agg(F.sum("blocked").alias("b"), F.count("*").alias("k"))
     seen = pages.groupBy("suffix").agg(F.log1p(F.count("*")).alias("suffix_pages"))
-    stats = seen.join(known, "suffix", "left").select(
-        F.col("suffix").alias("s"), "suffix_pages", ((F.coalesce("b", F.lit(0.0)) + 1) / (F.coalesce("k", F.lit(0)) + 2)).alias("suffix_blocked")
+    stats = seen.join(known, "suffix", "full").select(
+        F.col("suffix").alias("s"), F.coalesce("suffix_pages", F.lit(0.0)).alias("suffix_pages"),
+        F.coalesce("b", F.lit(0.0)).alias("b"), F.coalesce("k", F.lit(0)).alias("k"),
     )
     path = scratch(spark, "suffixes")
     stats.write.parquet(path)
     stats = spark.read.parquet(path)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
     path = scratch(spark, "labelled")
-    spread_join(drawn, stats, [("suffix", "s")], "inner").select("blocked", *FEATURES).coalesce(8).write.parquet(path)
+    # A labelled row's own label is left out of its suffix's share.
+    others = (F.col("b") - F.col("blocked") + 1) / (F.col("k") + 1)
+    examples = spread_join(drawn, stats, [("suffix", "s")], "inner").withColumn("suffix_blocked", others)
+    examples.select("blocked", *FEATURES).coalesce(8).write.parquet(path)
     sample = spark.read.parquet(path)
     kinds = [r["blocked"] for r in sample.select("blocked").distinct().collect()]
     if len(kinds) < 2:
@@ -96,7 +100,8 @@ def judge(pages: DataFrame, labelled: DataFrame, columns: Sequence[str], limit:
         labelCol="blocked", featuresCol="__features", predictionCol="__blocked",
         maxIter=TREES, maxDepth=DEPTH, seed=SEED,
     ).fit(assembler.transform(sample))
-    whole = assembler.transform(spread_join(pages, stats, [("suffix", "s")], "inner"))
+    share = (F.col("b") + 1) / (F.col("k") + 2)
+    whole = assembler.transform(spread_join(pages, stats, [("suffix", "s")], "inner").withColumn("suffix_blocked", share))
     return trees.transform(whole).select(*columns, F.when(F.col("__blocked") == 1.0, BLOCK).otherwise(ALLOW).alias("guess"))
 
 
