@@ -15,6 +15,7 @@ from snapline.operators import grid
 from snapline.operators.export import csv_lines
 from snapline.operators.metrics import metric_counts, normalize_metrics, project, sample_series, union_all
 from snapline.operators.profile import column_profile, numeric_columns
+from snapline.plans.snapshot import snapshot_views, write_snapshot
 from snapline.session import scratch
 from snapline.sources import tables
 from snapline.streaming import refresh
@@ -112,36 +113,36 @@ def _(spark, d):
 
 # Aggregates and fields of the order dashboard.
 ORDER_DASHBOARD = {
-    "filters": [{"field": "status", "label": "Order status"}, {"field": "sales_channel_name", "label": "Sales channel"}],
+    "filters": [{"field": "status"}, {"field": "sales_channel_name"}],
     "kpis": [
-        {"label": "Orders", "agg": "count", "field": "id"},
-        {"label": "Customers", "agg": "count_distinct", "field": "customer_id"},
-        {"label": "Recreated orders", "agg": "sum", "field": "recreated_order"},
-        {"label": "Sales channels", "agg": "count_distinct", "field": "sales_channel_name"},
+        {"agg": "count", "field": "id"},
+        {"agg": "count_distinct", "field": "customer_id"},
+        {"agg": "sum", "field": "recreated_order"},
+        {"agg": "count_distinct", "field": "sales_channel_name"},
     ],
     "widgets": [
-        {"type": "line", "title": "Orders by day", "x": "entry_date", "y": "id", "agg": "count", "full": True},
-        {"type": "bar", "title": "By status", "x": "status", "y": "id", "agg": "count"},
-        {"type": "bar", "title": "By sales channel", "x": "sales_channel_name", "y": "id", "agg": "count"},
+        {"type": "line", "x": "entry_date", "y": "id", "agg": "count"},
+        {"type": "bar", "x": "status", "y": "id", "agg": "count"},
+        {"type": "bar", "x": "sales_channel_name", "y": "id", "agg": "count"},
     ],
 }
 # Aggregates and fields of the promotion dashboard.
 PROMO_DASHBOARD = {
     "filters": [
-        {"field": "eligibility_status", "label": "Eligibility"},
-        {"field": "promo_code", "label": "Promo code"},
-        {"field": "is_employee", "label": "Employee"},
+        {"field": "eligibility_status"},
+        {"field": "promo_code"},
+        {"field": "is_employee"},
     ],
     "kpis": [
-        {"label": "Participations", "agg": "count", "field": "participation_number"},
-        {"label": "Customers", "agg": "count_distinct", "field": "customer_id"},
-        {"label": "Promo codes", "agg": "count_distinct", "field": "promo_code"},
-        {"label": "With services", "agg": "sum", "field": "has_services"},
+        {"agg": "count", "field": "participation_number"},
+        {"agg": "count_distinct", "field": "customer_id"},
+        {"agg": "count_distinct", "field": "promo_code"},
+        {"agg": "sum", "field": "has_services"},
     ],
     "widgets": [
-        {"type": "line", "title": "Participations by day", "x": "entry_date", "y": "participation_number", "agg": "count", "full": True},
-        {"type": "bar", "title": "By eligibility", "x": "eligibility_status", "y": "id", "agg": "count"},
-        {"type": "bar", "title": "Top 10 promo codes", "x": "promo_code", "y": "participation_number", "agg": "count", "limit": 10},
+        {"type": "line", "x": "entry_date", "y": "participation_number", "agg": "count"},
+        {"type": "bar", "x": "eligibility_status", "y": "id", "agg": "count"},
+        {"type": "bar", "x": "promo_code", "y": "participation_number", "agg": "count", "limit": 10},
     ],
 }
 
@@ -170,7 +171,7 @@ _KPIS = """SELECT CAST(count(id) AS DOUBLE) AS k0, CAST(count(DISTINCT customer_
 
 @query("kpi_panel", m.with_(m.DATA) + _KPIS + ", round(avg(amount), 4) AS k4 FROM data")
 def _(spark, d):
-    specs = [*ORDER_DASHBOARD["kpis"], {"label": "Mean amount", "agg": "avg", "field": "amount"}]
+    specs = [*ORDER_DASHBOARD["kpis"], {"agg": "avg", "field": "amount"}]
     return dash.kpis(_data(spark, d), specs).withColumn("k4", F.round("k4", 4))
 
 
@@ -242,6 +243,24 @@ def _(spark, d):
     return dash.line(_data(spark, d), "entry_date", "id", "count", series="type_name", dense=True)
 
 
+LINE_SPEC = {"widgets": [{"type": "line", "x": "entry_date", "y": "amount", "agg": "sum", "series": "type_name"}]}
+
+
+@query("dashboard_line_series", m.with_(m.DATA, """points AS (
+  SELECT entry_date AS x, type_name AS s, round(CAST(sum(CASE WHEN status <> 'P' THEN amount END) AS DOUBLE), 2) AS y FROM data GROUP BY 1, 2)""") + """
+SELECT xs.x, ss.s, coalesce(points.y, 0) AS y FROM (SELECT DISTINCT x FROM points) xs CROSS JOIN (SELECT DISTINCT s FROM points) ss
+LEFT JOIN points ON points.x IS NOT DISTINCT FROM xs.x AND points.s IS NOT DISTINCT FROM ss.s""")
+def _(spark, d):
+    data = _data(spark, d).withColumn("amount", F.when(F.col("status") != "P", F.col("amount")))
+    return dash.dashboard(data, LINE_SPEC)["widgets"][0].withColumn("y", F.round("y", 2))
+
+
+@query("kpi_wide_sum", m.with_(m.DATA) + "SELECT CAST(sum(CAST(id AS HUGEINT) * 0 + 4611686018427387904) AS DOUBLE) AS k0 FROM data")
+def _(spark, d):
+    data = _data(spark, d).withColumn("huge", F.col("id") * 0 + F.lit(1 << 62))
+    return dash.kpis(data, [{"agg": "sum", "field": "huge"}])
+
+
 @query("filter_options", m.with_(m.DATA) + "SELECT DISTINCT type_name FROM data WHERE type_name IS NOT NULL")
 def _(spark, d):
     return dash.filter_options(_data(spark, d), "type_name")
@@ -301,13 +320,27 @@ def _(spark, d):
     return grid.grid_page(_data(spark, d), tiebreak=["id"], page=3)
 
 
-@query("grid_page_keyset", m.with_(m.DATA, "ends AS (SELECT created_at AS c, id AS i FROM data ORDER BY c DESC NULLS LAST, i LIMIT 1 OFFSET 299)")
-       + "SELECT data.* FROM data, ends WHERE created_at < c OR (created_at = c AND id > i) ORDER BY created_at DESC NULLS LAST, id LIMIT 100")
+_KEYSET = m.with_(m.DATA, "ends AS (SELECT created_at AS c, id AS i FROM data ORDER BY c DESC NULLS LAST, i LIMIT 1 OFFSET 299)")
+
+
+def _held_row(data: DataFrame) -> DataFrame:
+    """The row a reader is at: place 300 in page order, found by one top-n, not by a driver action."""
+    first = grid.grid_sort(data.select("created_at", "id"), tiebreak=["id"]).limit(300)
+    return grid.grid_sort(first, desc=False, tiebreak=["id"]).orderBy("created_at", F.desc("id")).limit(1)
+
+
+@query("grid_page_keyset", _KEYSET + """SELECT data.* FROM data, ends WHERE created_at < c OR (created_at = c AND id > i)
+ORDER BY created_at DESC NULLS LAST, id LIMIT 100""")
 def _(spark, d):
     data = _data(spark, d)
-    # The reader holds the last row of the page it is on: one row, page 2.
-    last = grid.grid_page(data, tiebreak=["id"], page=2).select("created_at", "id").tail(1)[0]
-    return grid.grid_page_after(data, None, True, "id", (last["created_at"], last["id"]))
+    return grid.grid_page_after(data, None, True, "id", _held_row(data))
+
+
+@query("grid_page_back", _KEYSET + """SELECT data.* FROM data, ends WHERE (created_at > c OR (created_at = c AND id < i)) AND status = 'O'
+ORDER BY created_at, id DESC LIMIT 100""")
+def _(spark, d):
+    data = _data(spark, d)
+    return grid.grid_window(data, "id", filters={"status": (["O"], False)}, before=_held_row(data))
 
 
 @query("grid_count", m.with_(m.DATA) + "SELECT count(*) AS total FROM data WHERE lower(segment) LIKE '%build%' OR lower(name) LIKE '%build%'")
@@ -321,21 +354,29 @@ def _(spark, d):
     return grid.page_info(_data(spark, d), page=10**9)
 
 
-@query("filter_values", m.with_(m.DATA) + """SELECT v, count(*) OVER () > 2000 AS truncated FROM (
-  SELECT DISTINCT CAST(entry_date AS VARCHAR) AS v FROM data ORDER BY v LIMIT 2001) QUALIFY row_number() OVER (ORDER BY v) <= 2000""")
+@query("filter_values", m.with_(m.DATA) + "SELECT DISTINCT CAST(entry_date AS VARCHAR) AS v, false AS truncated FROM data WHERE entry_date IS NOT NULL")
 def _(spark, d):
     return grid.filter_values(_data(spark, d), "entry_date")
 
 
+@query("filter_values_first", m.with_(m.DATA) + """SELECT v, true AS truncated FROM (
+  SELECT DISTINCT CAST(entry_date AS VARCHAR) AS v FROM data) WHERE v > '1995-06-01' ORDER BY v LIMIT 50""")
+def _(spark, d):
+    return grid.filter_values(_data(spark, d), "entry_date", limit=50, after="1995-06-01")
+
+
 @query("column_null_count", m.with_(m.DATA) + """SELECT count(*) FILTER (type_name IS NULL) AS type_name,
   count(*) FILTER (name IS NULL) AS name, count(*) FILTER (amount IS NULL) AS amount FROM data""")
 def _(spark, d):
     return grid.column_null_count(_data(spark, d), ["type_name", "name", "amount"])
 
 
-@query("view_sort", m.with_(m.DATA) + "SELECT * FROM data ORDER BY coalesce(type_name, ''), id LIMIT 100")
+@query("view_sort", m.with_(m.DATA) + """SELECT id, CAST(customer_id AS VARCHAR) AS customer,
+  CAST(row_number() OVER (ORDER BY customer_id, id) - 1 AS BIGINT) AS place FROM data""")
 def _(spark, d):
-    return grid.view_sort(_data(spark, d), "type_name", tiebreak=["id"]).limit(grid.PAGE_SIZE)
+    rows = _data(spark, d).select("id", F.col("customer_id").cast("string").alias("customer"))
+    ordered = grid.view_sort(rows, "customer", tiebreak=["id"], numeric=True)
+    return grid.with_place(ordered)
 
 
 @query("table_preview", m.with_(m.DATA) + "SELECT * FROM data ORDER BY id LIMIT 100")
@@ -344,13 +385,16 @@ def _(spark, d):
 
 
 @query("csv_lines", m.with_(m.DATA) + """SELECT concat_ws(';', id, status, strftime(created_at, '%Y-%m-%d %H:%M:%S'), name,
-  coalesce(type_name, ''), chr(34) || segment || ', ' || chr(34) || chr(34) || sales_channel_name || repeat(chr(34), 3))
+  coalesce(type_name, ''), chr(34) || segment || ', ' || chr(34) || chr(34) || sales_channel_name || repeat(chr(34), 3),
+  CAST(id * 100000000 AS BIGINT), CASE recreated_order WHEN 1 THEN '0.00025' ELSE '0' END, (recreated_order + 2) || '.5')
   AS value FROM data""")
 def _(spark, d):
     rows = project(_data(spark, d), {
         "id": F.col("id"), "status": F.col("status"), "created_at": F.col("created_at"), "name": F.col("name"),
         "type_name": F.col("type_name"),
         "place": F.concat(F.col("segment"), F.lit(', "'), F.col("sales_channel_name"), F.lit('"')),
+        "large": F.col("id") * 1e8, "small": F.col("recreated_order") * 0.00025,
+        "short": (F.col("recreated_order") + 2.5).cast("float"),
     })
     return csv_lines(rows)
 
@@ -396,6 +440,19 @@ def _(spark, d):
     return sql_.adhoc(spark, "SELECT segment, count(*) AS customers, sum(n) AS orders FROM frequent_customers GROUP BY 1")
 
 
+@query("saved_view_refreshed", m.with_(m.DATA) + "SELECT status, count(*) AS orders FROM data WHERE recreated_order = 1 GROUP BY 1")
+def _(spark, d):
+    """The view is saved on a first snapshot; a second one replaces that before it is asked."""
+    path = scratch(spark, "viewed")
+    data = _data(spark, d)
+    write_snapshot(data.where("recreated_order = 0"), path)
+    snapshot_views(spark, path)
+    sql_.saved_view(spark, "recreated", "SELECT * FROM data WHERE recreated_order = 1")
+    write_snapshot(data, path)
+    snapshot_views(spark, path)
+    return sql_.adhoc(spark, "SELECT status, count(*) AS orders FROM recreated GROUP BY 1")
+
+
 @query("quick_chart", m.with_(m.DATA) + "SELECT status AS label, count(*) AS value FROM data GROUP BY 1")
 def _(spark, d):
     _data(spark, d).createOrReplaceTempView("data")
@@ -408,17 +465,24 @@ def _(spark, d):
 _TIEBREAK = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
+def _arriving(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table as a stream of several files and batches."""
+    path = scratch(spark, name)
+    df.repartition(4).write.parquet(path)
+    return refresh.stream_table(spark, path, max_files=2)
+
+
 @query("stream_latest_state", m.with_(m.DAY_LATEST) + "SELECT * FROM day_latest")
 def _(spark, d):
     path = scratch(spark, "latest")
-    stream = refresh.stream_table(spark, f"{d}/lineitem.parquet")
-    refresh.refresh_latest(stream, path, ["l_orderkey"], ["l_shipdate"], _TIEBREAK).awaitTermination()
+    stream = _arriving(spark, tables.table(spark, d, "lineitem"), "lines")
+    refresh.refresh_latest(stream, path, ["l_orderkey"], ["l_shipdate"], _TIEBREAK, compact_every=2).awaitTermination()
     return refresh.read_latest(spark, path, ["l_orderkey"], ["l_shipdate"], _TIEBREAK)
 
 
 @query("stream_metric_counts", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS cnt FROM events GROUP BY 1, 2")
 def _(spark, d):
     path = scratch(spark, "counts")
-    stream = refresh.stream_table(spark, f"{d}/events.parquet").select("ts", "event_type")
-    refresh.refresh_counts(stream, path, "ts", ["event_type"]).awaitTermination()
+    stream = _arriving(spark, tables.table(spark, d, "events").select("ts", "event_type"), "events")
+    refresh.refresh_counts(stream, path, "ts", ["event_type"], compact_every=2).awaitTermination()
     return refresh.read_counts(spark, path, ["event_type"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from snapline.operators.pushdown import distinct_ids, key_stats, restrict_to_key
 from snapline.plans import assemble
 from snapline.plans.run import run_pipeline
 from snapline.plans.snapshot import (
-    read_manifest, read_snapshot, snapshot_views, table_counts, write_snapshot,
+    Manifest, Rules, read_manifest, read_snapshot, snapshot_views, table_counts, write_snapshot,
 )
 from snapline.session import scratch
 from snapline.sources import files, tables
@@ -59,22 +60,37 @@ def _key(spark: SparkSession):
     return key_from_file(spark, path)
 
 
-def _built(spark: SparkSession, spec) -> DataFrame:
-    path = scratch(spark, spec.name)
-    manifest = run_pipeline(spark, spec, path)
+def _checked(manifest: Manifest) -> None:
     if manifest.error:
         raise RuntimeError(manifest.error)
+
+
+def _built(spark: SparkSession, spec) -> DataFrame:
+    path = scratch(spark, spec.name)
+    _checked(run_pipeline(spark, spec, path))
     return read_snapshot(spark, path)
 
 
 @query("build_history", m.history_sql(DAYS))
 def _(spark, d):
-    return _built(spark, history_spec(d, width=f"{DAYS} days"))
+    return _built(spark, history_spec(d, width=f"{DAYS} days", export=assemble.history_sources))
 
 
 @query("build_recent", m.RECENT_SQL)
 def _(spark, d):
-    return _built(spark, recent_spec(d))
+    export = partial(assemble.recent_sources, tiebreak=tables.RECENT_TIEBREAK)
+    return _built(spark, recent_spec(d, export=export))
+
+
+@query("build_after_failure", m.RECENT_SQL)
+def _(spark, d):
+    """A build that breaks its contract after a good one: readers still get the good one."""
+    path = scratch(spark, "failing")
+    run_pipeline(spark, recent_spec(d), path)
+    broken = replace(recent_spec(d), rules=Rules(("no such column",)))
+    if run_pipeline(spark, broken, path, keep=1).error is None:
+        raise RuntimeError("the broken build should have failed")
+    return read_snapshot(spark, path)
 
 
 _SOURCE_COUNTS = m.with_(m.CUSTOMER_ORDERS, m.DRIVER_HISTORY, m.CRM_IDS) + """
@@ -90,7 +106,7 @@ UNION ALL SELECT 'crm_customer', count(*) FROM customer WHERE EXISTS (SELECT 1 F
 @query("build_history_sources", _SOURCE_COUNTS)
 def _(spark, d):
     path = scratch(spark, "sources")
-    run_pipeline(spark, history_spec(d, export=assemble.history_sources), path)
+    _checked(run_pipeline(spark, history_spec(d, export=assemble.history_sources), path))
     return table_counts(snapshot_views(spark, path))
 
 
@@ -102,7 +118,7 @@ UNION ALL SELECT 'crm_customer', count(*) FROM customer WHERE EXISTS (SELECT 1 F
 def _(spark, d):
     path = scratch(spark, "sources")
     export = partial(assemble.recent_sources, tiebreak=tables.RECENT_TIEBREAK)
-    run_pipeline(spark, recent_spec(d, export=export), path)
+    _checked(run_pipeline(spark, recent_spec(d, export=export), path))
     return table_counts(snapshot_views(spark, path))
 
 
@@ -227,7 +243,7 @@ def _unregistered(spark: SparkSession, d: str) -> DataFrame:
 
 
 _OPEN = m.with_(m.CUSTOMER_ORDERS, m.CRM_IDS, "driver AS (SELECT * FROM customer_orders)", m.UNREGISTERED,
-                m.CRM_ORDERS, m.latest_in_window(DAYS))
+                m.CRM_ORDERS, m.newest_sql(DAYS))
 
 
 @query("anti_not_registered", m.with_(m.CUSTOMER_ORDERS, m.CRM_IDS) +

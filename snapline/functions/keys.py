@@ -60,11 +60,6 @@ def key_of(df: DataFrame, name: str) -> Column:
     return safe_bigint(name)
 
 
-def bigint_of(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as an output BIGINT: same rule as a key, NULL when unreadable."""
-    return key_of(df, name)
-
-
 # Fixed value: what counts as a number written as text.
 NUMBER_TEXT = r"^-?\d+(\.\d+)?$"
 

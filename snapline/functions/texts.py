@@ -37,7 +37,40 @@ def double_text(column: Column) -> Column:
     )
 
 
+def _as_double(column: Column, kind: T.DataType) -> Column:
+    """A FLOAT through its own shortest text, so that 0.1 does not become 0.10000000149."""
+    return column.cast("string").cast("double") if isinstance(kind, T.FloatType) else column
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """Column ``name`` of ``df`` as SQL text."""
-    column = F.col(f"`{name}`")
-    return double_text(column) if isinstance(df.schema[name].dataType, T.DoubleType) else column.cast("string")
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    return double_text(_as_double(column, kind)) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else column.cast("string")
+
+
+def export_text(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a spreadsheet takes it: ``5`` and ``0.00001``, an exponent only from 1e21 and below 1e-6."""
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return column.cast("string")
+    number = _as_double(column, kind)
+    text, size = number.cast("string"), F.abs(number)
+    digits = F.replace(F.replace(F.split_part(text, F.lit("E"), F.lit(1)), F.lit("-"), F.lit("")), F.lit("."), F.lit(""))
+    digits = F.regexp_replace(digits, "0+$", "")
+    power = F.when(text.contains("E"), F.split_part(text, F.lit("E"), F.lit(2)).cast("int")).otherwise(0)
+    sign = F.when(number < 0, "-").otherwise("")
+    short = F.regexp_replace(text, r"\.0$", "")
+    large = F.concat(sign, F.rpad(digits, power + 1, "0"))
+    fraction = F.concat(sign, F.left(digits, power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    head = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    scientific = F.concat(head, F.when(power < 0, "e").otherwise("e+"), power.cast("string"))
+    return (
+        F.when(size == 0, "0")
+        .when(F.isnan(number), "NaN")
+        .when(size == float("inf"), F.when(number > 0, "Infinity").otherwise("-Infinity"))
+        .when((size >= PLAIN_FROM) & (size < PLAIN_BELOW), short)
+        .when((size >= PLAIN_BELOW) & (size < 1e21), F.when(F.length(digits) > power + 1, fraction).otherwise(large))
+        .when((size >= 1e-6) & (size < PLAIN_FROM), small)
+        .when(number.isNotNull(), scientific)
+    )

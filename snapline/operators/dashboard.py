@@ -7,29 +7,34 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from snapline.session import reliable_checkpoint
+from pyspark.sql import types as T
 
 # Fixed value: the option that stands for "no filter".
 ALL = "__all__"
 
 
-def agg_expr(agg: str, field: str, approximate: bool = False) -> Column:
-    """The aggregate as DOUBLE; an unknown name means sum.
+def _named(name: str) -> Column:
+    return F.col(f"`{name}`")
+
 
-    Each exact distinct count multiplies the rows that are aggregated; with
+def agg_expr(df: DataFrame, agg: str, field: str, approximate: bool = False) -> Column:
+    """The aggregate of a column of ``df`` as DOUBLE; an unknown name means sum.
+
+    Sums of integers are taken in a wider type, so that they do not overflow. Each exact distinct count multiplies the rows that are aggregated; with
     ``approximate`` it becomes a sketch and the panel stays one pass of constant size.
     """
+    column = _named(field)
     if agg == "count":
-        value = F.count(field)
+        value = F.count(column)
     elif agg == "count_distinct" and approximate:
-        value = F.approx_count_distinct(field)
+        value = F.approx_count_distinct(column)
     elif agg == "count_distinct":
-        value = F.count_distinct(F.col(field))
+        value = F.count_distinct(column)
     elif agg == "avg":
-        value = F.avg(field)
+        value = F.avg(column)
     else:
-        value = F.sum(field)
+        whole = isinstance(df.schema[field].dataType, T.IntegralType)
+        value = F.sum(column.cast("decimal(38,0)") if whole else column)
     return value.cast("double")
 
 
@@ -38,7 +43,7 @@ def equality_filters(df: DataFrame, filters: Mapping[str, Any] | None) -> DataFr
     for field, value in (filters or {}).items():
         if value is None or value == "" or value == ALL:
             continue
-        df = df.where(F.col(field) == F.lit(value).cast(df.schema[field].dataType))
+        df = df.where(_named(field) == F.lit(value).cast(df.schema[field].dataType))
     return df
 
 
@@ -50,7 +55,7 @@ def kpis(
 ) -> DataFrame:
     """One row ``k0, k1, ...``; every aggregate comes from one pass, NULL shows as 0."""
     values = [
-        F.coalesce(agg_expr(s["agg"], s["field"], approximate), F.lit(0.0)).alias(f"k{i}")
+        F.coalesce(agg_expr(df, s["agg"], s["field"], approximate), F.lit(0.0)).alias(f"k{i}")
         for i, s in enumerate(specs)
     ]
     return equality_filters(df, filters).agg(*values)
@@ -63,9 +68,10 @@ def bar(
     agg: str,
     limit: int | None = None,
     filters: Mapping[str, Any] | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
     """``x, y`` by falling y; a NULL x is a bar of its own; ``limit`` makes it a top-n."""
-    rows = equality_filters(df, filters).groupBy(F.col(x).alias("x")).agg(agg_expr(agg, y).alias("y"))
+    rows = equality_filters(df, filters).groupBy(_named(x).alias("x")).agg(agg_expr(df, agg, y, approximate).alias("y"))
     rows = rows.orderBy(F.col("y").desc_nulls_last(), F.col("x").asc_nulls_last())
     return rows.limit(limit) if limit else rows
 
@@ -78,30 +84,31 @@ def line(
     series: str | None = None,
     filters: Mapping[str, Any] | None = None,
     dense: bool = False,
+    approximate: bool = False,
 ) -> DataFrame:
-    """``x, s, y`` by x; ``dense`` adds a 0 for every observed x a series lacks."""
-    name = F.col(series) if series else F.lit("all")
+    """``x, s, y`` by x; ``dense`` shows 0 for NULL and for every observed x a series lacks."""
+    name = _named(series) if series else F.lit("all")
     rows = (
         equality_filters(df, filters)
-        .groupBy(F.col(x).alias("x"), name.alias("s"))
-        .agg(agg_expr(agg, y).alias("y"))
+        .groupBy(_named(x).alias("x"), name.alias("s"))
+        .agg(agg_expr(df, agg, y, approximate).alias("y"))
     )
-    if dense:
+    if dense and series:
         rows = densify(rows)
+    elif dense:  # a single series lacks no x
+        rows = rows.withColumn("y", F.coalesce("y", F.lit(0.0)))
     return rows.orderBy(F.col("x").asc_nulls_last(), F.col("s").asc_nulls_last())
 
 
-def densify(points: DataFrame, blocks: int = 64) -> DataFrame:
+def densify(points: DataFrame) -> DataFrame:
     """Every observed x with every observed series, missing and NULL values as 0.
 
-    The grid is a join on a block number: each x goes once to every block, each
-    series to one block, so the work spreads over the blocks whatever the number of
-    series. Only the aggregated points are read three times, from a checkpoint.
+    The result is the product of the two by definition. The x axis, as long as a chart is wide, is
+    one array that each series unfolds; the points are then looked up by a shuffled join.
     """
-    points = reliable_checkpoint(points)
-    xs = points.select("x").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    names = points.select("s").distinct().withColumn("block", F.pmod(F.hash("s"), F.lit(blocks)))
-    grid = xs.join(names, "block").select(F.col("x").alias("gx"), F.col("s").alias("gs"))
+    axis = points.select(F.struct("x").alias("x")).agg(F.collect_set("x")).scalar()
+    names = points.select("s").distinct()
+    grid = names.select(F.col("s").alias("gs"), F.explode(axis).alias("gx")).select("gs", F.col("gx.x").alias("gx"))
     same = F.col("gx").eqNullSafe(F.col("x")) & F.col("gs").eqNullSafe(F.col("s"))
     return grid.join(points, same, "left").select(
         F.col("gx").alias("x"), F.col("gs").alias("s"), F.coalesce("y", F.lit(0.0)).alias("y")
@@ -110,21 +117,24 @@ def densify(points: DataFrame, blocks: int = 64) -> DataFrame:
 
 def filter_options(df: DataFrame, column: str) -> DataFrame:
     """Sorted distinct non-NULL values for a dashboard filter."""
-    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+    return df.where(_named(column).isNotNull()).select(_named(column)).distinct().orderBy(_named(column))
 
 
 def dashboard(
-    df: DataFrame, spec: Mapping[str, Any], filters: Mapping[str, Any] | None = None
+    df: DataFrame, spec: Mapping[str, Any], filters: Mapping[str, Any] | None = None, approximate: bool = False
 ) -> dict[str, Any]:
-    """All frames of a dashboard spec: ``filters``, ``kpis`` and ``widgets``, nothing computed yet."""
+    """All frames of a dashboard spec: ``filters``, ``kpis`` and ``widgets``, nothing computed yet.
+
+    Lines are zero-filled; ``approximate`` goes to every distinct count.
+    """
     widgets = []
     for w in spec.get("widgets", []):
         if w["type"] == "line":
-            widgets.append(line(df, w["x"], w["y"], w["agg"], w.get("series"), filters))
+            widgets.append(line(df, w["x"], w["y"], w["agg"], w.get("series"), filters, True, approximate))
         else:
-            widgets.append(bar(df, w["x"], w["y"], w["agg"], w.get("limit"), filters))
+            widgets.append(bar(df, w["x"], w["y"], w["agg"], w.get("limit"), filters, approximate))
     return {
         "filters": {f["field"]: filter_options(df, f["field"]) for f in spec.get("filters", [])},
-        "kpis": kpis(df, spec["kpis"], filters) if spec.get("kpis") else None,
+        "kpis": kpis(df, spec["kpis"], filters, approximate) if spec.get("kpis") else None,
         "widgets": widgets,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapline.functions.texts import export_text
 from snapline.sources.files import write_text
 
 # Fixed values.
@@ -30,8 +31,8 @@ def _header(df: DataFrame, sep: str) -> str:
 
 def csv_lines(df: DataFrame, sep: str = SEPARATOR) -> DataFrame:
     """One text line per row: NULL is empty, a value with a quote, comma, semicolon or
-    newline is quoted, quotes are doubled."""
-    cells = [_cell(F.col(f"`{name}`").cast("string")) for name in df.columns]
+    newline is quoted, quotes are doubled, numbers have no needless fraction or exponent."""
+    cells = [_cell(export_text(df, name)) for name in df.columns]
     return df.select(F.concat_ws(sep, *cells).alias(CSV_NAME))
 
 

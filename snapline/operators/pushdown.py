@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from snapline.functions.keys import key_of
 from snapline.operators.joins import spread_join
 
-# Fixed value: how many literals one relational predicate may carry.
-PREDICATE_SIZE = 5000
-
-
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL ids as BIGINT."""
     key = key_of(df, column)
@@ -48,24 +44,3 @@ def key_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         stats.append(F.min(name).alias(f"{name}_min"))
         stats.append(F.max(name).alias(f"{name}_max"))
     return df.agg(*stats)
-
-
-def _literal(value: object) -> str:
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        return str(int(value)) if float(value).is_integer() else repr(value)
-    return "'" + str(value).replace("'", "''") + "'"
-
-
-def jdbc_predicates(column: str, values: Sequence[object], size: int = PREDICATE_SIZE) -> list[str]:
-    """``predicates`` for ``spark.read.jdbc``: one IN list, and one read task, per ``size`` ids.
-
-    For ids the caller already holds; ids that live in a table are joined instead
-    (:func:`restrict_to_keys`). No ids means no rows.
-    """
-    wanted = [v for v in dict.fromkeys(values) if v is not None and v == v]
-    if not wanted:
-        return [f"{column} IN (NULL)"]
-    return [
-        f"{column} IN ({', '.join(map(_literal, wanted[i:i + size]))})"
-        for i in range(0, len(wanted), size)
-    ]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from snapline.functions.dates import (
     LOCAL_ZONE, fmt_day, fmt_ts, local_day_start, local_time, now_utc, period_id, read_time, utc_wall, wall_instant,
 )
-from snapline.functions.keys import bigint_of, key_of
+from snapline.functions.keys import key_of
 from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window, spread_join
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import distinct_ids, restrict_to_keys
@@ -141,7 +141,9 @@ def assemble_recent(
 ) -> DataFrame:
     """All recent orders with the newest state of their own CRM order."""
     orders = sources["customer_orders"]
-    details = recent_details(sources, tiebreak).withColumn("__detail", F.col("cust_order_id"))
+    # A build has written the details already.
+    details = sources["cust_order_day_detail"] if "cust_order_day_detail" in sources else recent_details(sources, tiebreak)
+    details = details.withColumn("__detail", F.col("cust_order_id"))
     orders = orders.withColumn("__order", key_of(orders, "crm_order_id")).withColumn(
         "__customer_key", key_of(orders, "customer_id")
     )
@@ -158,9 +160,9 @@ def _snapshot(df: DataFrame, recreated: Column) -> DataFrame:
         "created_at": fmt_ts("created_at"),
         "order_date_create": fmt_ts("order_date_create"),
         "order_close_date": fmt_ts("order_close_date"),
-        "new_product_offer_id": bigint_of(df, "new_product_offer_id"),
-        "cust_order_id": bigint_of(df, "cust_order_id"),
-        "customer_account_id": bigint_of(df, "customer_account_id"),
+        "new_product_offer_id": key_of(df, "new_product_offer_id"),
+        "cust_order_id": key_of(df, "cust_order_id"),
+        "customer_account_id": key_of(df, "customer_account_id"),
         "recreated_order": recreated,
     }
     return df.select(*[made.get(name, F.col(name)).alias(name) for name in SNAPSHOT_COLUMNS])

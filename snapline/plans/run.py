@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from snapline.operators.metrics import normalize_metrics, sample_series, union_all
 from snapline.operators.pushdown import restrict_to_keys
-from snapline.plans.snapshot import ContractError, Manifest, Rules, mark_stale, write_snapshot
+from snapline.plans.snapshot import (
+    ContractError, Manifest, Rules, mark_stale, prune_versions, read_manifest, write_snapshot,
+)
+from snapline.session import size_shuffles
 from snapline.sources.readers import SourceSpec, read_source
 
 log = logging.getLogger(__name__)
@@ -69,21 +72,31 @@ def run_sample(
 
 
 def run_pipeline(
-    spark: SparkSession, spec: PipelineSpec, path: str, key: Column | None = None
+    spark: SparkSession, spec: PipelineSpec, path: str, key: Column | None = None, keep: int | None = None
 ) -> Manifest:
     """Build and publish. On any failure the previous version stays current and the
-    returned manifest is stale and names the error."""
+    returned manifest is stale and names the error.
+
+    Shuffles are sized by the sources' files. Published source tables are written first and the
+    result is assembled from them. ``keep`` is how many published versions stay on disk.
+    """
     try:
+        size_shuffles(spark, *[s.path for s in spec.sources if s.path])
         frames = collect_sources(spark, spec)
-        return write_snapshot(
-            build(spec, frames),
+        manifest = write_snapshot(
+            lambda written: build(spec, {**frames, **written}),
             path,
             sources=spec.export(frames) if spec.export else None,
             rules=spec.rules,
             source_versions={"pipeline": spec.name, **spec.versions},
             encrypt=spec.encrypt,
             key=key,
+            spark=spark,
         )
     except Exception as error:
         log.exception("build of %s failed", spec.name)
         return mark_stale(spark, path, str(error))
+    if keep is not None:
+        prune_versions(spark, path, keep)
+        return read_manifest(spark, path)
+    return manifest

@@ -13,13 +13,12 @@ from __future__ import annotations
 import json
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,13 +51,13 @@ class Rules:
     def check_columns(self, df: DataFrame) -> None:
         missing = missing_columns(df, self.expected_columns)
         if missing:
-            raise ContractError(f"missing columns: {missing}")
+            raise ContractError(f"the result lacks {', '.join(missing)}")
 
     def check_rows(self, n: int) -> None:
         if n < self.min_rows:
-            raise ContractError(f"too few rows: {n} < {self.min_rows}")
+            raise ContractError(f"{n} rows, but at least {self.min_rows} are promised")
         if self.max_rows is not None and n > self.max_rows:
-            raise ContractError(f"too many rows: {n} > {self.max_rows}")
+            raise ContractError(f"{n} rows, but at most {self.max_rows} are promised")
 
 
 @dataclass
@@ -75,6 +74,8 @@ class Manifest:
     status: str = OK
     error: str | None = None
     stale_at: str | None = None
+    # Versions that were current once, oldest first; what is on disk besides them is unfinished.
+    published: list[str] = field(default_factory=list)
 
     def to_json(self) -> str:
         kept = {k: v for k, v in asdict(self).items() if v is not None}
@@ -106,22 +107,29 @@ def _write(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
+Build = Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
 def write_snapshot(
-    df: DataFrame,
+    df: DataFrame | Build,
     path: str,
     sources: Mapping[str, DataFrame] | None = None,
     rules: Rules = Rules(),
     source_versions: Mapping[str, str] | None = None,
     encrypt: Sequence[str] = (),
     key: Column | None = None,
+    spark: SparkSession | None = None,
 ) -> Manifest:
-    """Write a new version, check it, then make it current. Raises without touching the
-    current one; a source table that cannot be written is left out.
+    """Write a new version, check it, then make it current. On failure it is deleted again and
+    the current one is untouched; a source table that cannot be written is left out.
 
+    ``df`` may be a function of the source tables: they are written first, once, and what it
+    gets are the written ones, so the data and the published sources show the same state.
     The columns named in ``encrypt`` are encrypted wherever they occur.
     """
-    spark = df.sparkSession
-    rules.check_columns(df)
+    spark = spark or (df.sparkSession if isinstance(df, DataFrame) else SparkSession.active())
+    if isinstance(df, DataFrame):
+        rules.check_columns(df)
     if encrypt and key is None:
         raise ContractError("encryption is asked for, but there is no key")
     hidden: dict[str, dict[str, str]] = {}
@@ -135,20 +143,31 @@ def write_snapshot(
 
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     home = f"{path}/versions/{version}"
-    row_count = _write(protected("data", df), f"{home}/data")
-    rules.check_rows(row_count)
 
     def publish(item: tuple[str, DataFrame]) -> dict[str, Any] | None:
         name, source = item
         try:
             return {"name": name, "row_count": _write(protected(name, source), f"{home}/sources/{name}")}
-        except PySparkException as error:
+        except Exception as error:  # unreadable files arrive as errors of many kinds
             log.warning("source table %s left out: %s", name, error)
+            hidden.pop(name, None)
+            files.delete(spark, f"{home}/sources/{name}")
             return None
 
-    # The jobs are independent; side by side, the end of one does not idle the cluster.
-    with ThreadPoolExecutor(SOURCE_JOBS) as jobs:
-        written = [done for done in jobs.map(publish, (sources or {}).items()) if done]
+    try:
+        # The jobs are independent; side by side, the end of one does not idle the cluster.
+        with ThreadPoolExecutor(SOURCE_JOBS) as jobs:
+            written = [done for done in jobs.map(publish, (sources or {}).items()) if done]
+        if not isinstance(df, DataFrame):
+            df = df({s["name"]: _open_part(spark, f"{home}/sources/{s['name']}", hidden.get(s["name"]), key) for s in written})
+            rules.check_columns(df)
+        row_count = _write(protected("data", df), f"{home}/data")
+        rules.check_rows(row_count)
+    except Exception:
+        files.delete(spark, home)
+        raise
+    known = files.exists(spark, _manifest_path(path))
+    before = read_manifest(spark, path) if known else Manifest()
     manifest = Manifest(
         generated_at=_now(),
         version=version,
@@ -159,6 +178,7 @@ def write_snapshot(
         source_tables_info=written,
         encrypted=bool(hidden),
         encrypted_columns=hidden,
+        published=[*(before.published or ([before.version] if before.version else [])), version],
     )
     files.replace_text(spark, _manifest_path(path), manifest.to_json())
     return manifest
@@ -174,25 +194,32 @@ def mark_stale(spark: SparkSession, path: str, error: str) -> Manifest:
 
 
 def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` versions, never the current one."""
-    current = read_manifest(spark, path).version
-    versions = files.children(spark, f"{path}/versions")
-    old = [v for v in versions[: max(0, len(versions) - keep)] if v != current]
+    """Delete all but the newest ``keep`` published versions, never the current one, and what
+    failed builds have left."""
+    manifest = read_manifest(spark, path)
+    published = manifest.published or [manifest.version]
+    kept = {*published[max(0, len(published) - keep) :], manifest.version}
+    old = [v for v in files.children(spark, f"{path}/versions") if v not in kept]
     for version in old:
         files.delete(spark, f"{path}/versions/{version}")
+    manifest.published = [v for v in published if v in kept]
+    files.replace_text(spark, _manifest_path(path), manifest.to_json())
     return old
 
 
-def _open(spark: SparkSession, path: str, manifest: Manifest, name: str, key: Column | None) -> DataFrame:
-    part = "data" if name == "data" else f"sources/{name}"
-    df = spark.read.parquet(f"{path}/versions/{manifest.version}/{part}")
-    hidden = manifest.encrypted_columns.get(name)
+def _open_part(spark: SparkSession, place: str, hidden: Mapping[str, str] | None, key: Column | None) -> DataFrame:
+    df = spark.read.parquet(place)
     if not hidden or key is None:
         return df
     clear = decrypt_columns(df, list(hidden), key)
     return clear.withColumns({c: F.col(c).cast(kind) for c, kind in hidden.items()})
 
 
+def _open(spark: SparkSession, path: str, manifest: Manifest, name: str, key: Column | None) -> DataFrame:
+    part = "data" if name == "data" else f"sources/{name}"
+    return _open_part(spark, f"{path}/versions/{manifest.version}/{part}", manifest.encrypted_columns.get(name), key)
+
+
 def read_snapshot(spark: SparkSession, path: str, key: Column | None = None) -> DataFrame:
     """The current version; without ``key`` its encrypted columns stay binary."""
     return _open(spark, path, read_manifest(spark, path), "data", key)
@@ -210,7 +237,7 @@ def snapshot_views(
         try:
             frames[name] = _open(spark, path, manifest, name, key)
             frames[name].createOrReplaceTempView(name)
-        except PySparkException as error:
+        except Exception as error:
             log.warning("source table %s not loaded: %s", name, error)
     return frames
 

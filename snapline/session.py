@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # None of these changes a result; they let the runtime split hot partitions,
 # coalesce small ones and drop join input early.
 SETTINGS = {
@@ -18,38 +21,63 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
-# Only at start: without it every Column call records its Python call site.
-START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Above 2,000 shuffle partitions a map output reports only the average of its blocks, unless a
+# block is this many times the median; without it the runtime sees no hot partition there.
+SKEW_FACTOR = "spark.shuffle.accurateBlockSkewedFactor"
+
+# Only at start. Without the first every Column call records its Python call site.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false", SKEW_FACTOR: "5"}
 
 # Shuffle partitions before coalescing: input bytes grow about threefold when decoded,
-# and a task should sort 128 MB in memory. Beyond the bound, more would only cost planning.
+# and a task should sort 128 MB in memory.
 BYTES_PER_PARTITION = 128 << 20
 DECODED = 3
-MOST_PARTITIONS = 32_768
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 _own_scratch: str | None = None
-_input_bytes: dict[str, int] = {}
+_warned: set[str] = set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to a session that somebody else built."""
+    """Apply :data:`SETTINGS` to a session that somebody else built.
+
+    :data:`START_SETTINGS` cannot be set any more then: a cluster's defaults have to hold
+    ``spark.shuffle.accurateBlockSkewedFactor``, or hot keys stay unsplit beyond 2,000 shuffle
+    partitions. It is warned of once per application.
+    """
+    context = spark.sparkContext
+    if float(context.getConf().get(SKEW_FACTOR, "-1")) <= 0 and context.applicationId not in _warned:
+        _warned.add(context.applicationId)
+        log.warning("%s is not set: beyond 2,000 shuffle partitions hot keys will not be split", SKEW_FACTOR)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-def size_shuffles(spark: SparkSession, path: str) -> int:
-    """Start shuffles with enough partitions for the input below ``path``.
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes below ``paths``; what cannot be listed (a table, a query) counts as nothing."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(place):
+            total += system.getContentSummary(place).getLength()
+    return total
+
+
+def partitions_for(size: int, most: int | None = None) -> int:
+    """Shuffle partitions for so many bytes of input, at most ``most`` if the cluster needs a bound."""
+    wanted = max(1, -(-size * DECODED // BYTES_PER_PARTITION))
+    return min(wanted, most) if most else wanted
+
+
+def size_shuffles(spark: SparkSession, *paths: str, most: int | None = None) -> int:
+    """Start shuffles with enough partitions for the input below ``paths``.
 
     Adaptive execution merges what turns out too small, so this only has to be large
     enough; it never goes below ``spark.sql.shuffle.partitions``.
     """
-    if path not in _input_bytes:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-        _input_bytes[path] = system.getContentSummary(place).getLength()
-    wanted = min(MOST_PARTITIONS, -(-_input_bytes[path] * DECODED // BYTES_PER_PARTITION))
+    wanted = partitions_for(input_bytes(spark, *paths), most)
     partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set(_INITIAL, str(partitions))
     return partitions
@@ -68,20 +96,15 @@ def build_session(app: str = "snapline", master: str | None = None, **conf: str)
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests) a local folder is made, once per process.
+    Only where that is unset and everything runs in one process (tests) is it a local folder.
     """
     global _own_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if _own_scratch is None:
             _own_scratch = tempfile.mkdtemp(prefix="snapline-")
         base = _own_scratch
     return f"{base.rstrip('/')}/snapline/{name}-{uuid.uuid4().hex}"
-
-
-def reliable_checkpoint(df):
-    """Cut the lineage of a reduced frame that several branches read."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch(df.sparkSession, "checkpoint"))
-    return df.checkpoint()

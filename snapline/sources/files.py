@@ -19,6 +19,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _system(spark, path).exists(_path(spark, path))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    return exists(spark, path) and _system(spark, path).getFileStatus(_path(spark, path)).isFile()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _system(spark, path).open(_path(spark, path))
     try:

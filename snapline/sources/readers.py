@@ -26,18 +26,32 @@ class SourceSpec:
     shape: Callable[[DataFrame], DataFrame] | None = None
     keys: tuple[str, str] | None = None
     schema: StructType | str | None = None
+    one_task: bool = False
+
+    @property
+    def path(self) -> str | None:
+        """Where its files are, if it is read from files."""
+        return None if self.format in ("table", "jdbc") else self.location
+
+
+def key_buckets(column: str, buckets: int) -> tuple[str, ...]:
+    """Predicates that deal a relation's rows by an integer key into so many read tasks."""
+    return (*(f"MOD({column}, {buckets}) IN ({i}, {-i})" if i else f"MOD({column}, {buckets}) = 0" for i in range(buckets)), f"{column} IS NULL")
 
 
 def jdbc_options(spec: SourceSpec) -> dict[str, str]:
     """Reader options of a relational query.
 
     ``partitionColumn, lowerBound, upperBound, numPartitions`` in ``spec.options`` make the
-    read parallel; they come together or not at all.
+    read parallel; they come together or not at all. Without them and without predicates one
+    task would read everything, so that has to be asked for (``one_task``).
     """
     parallel = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
     given = parallel & set(spec.options)
     if given and given != parallel:
         raise ValueError(f"a parallel read also needs {sorted(parallel - given)}")
+    if not given and not spec.predicates and not spec.one_task:
+        raise ValueError(f"source '{spec.name}' would be read by one task: split it, or say one_task=True")
     if not spec.options.get("url"):
         raise ValueError(f"source '{spec.name}' has no url")
     query = spec.location.strip().rstrip(";")

@@ -13,6 +13,7 @@ merge on read; :func:`compact` folds the changes into a new base.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -27,11 +28,18 @@ from snapline.sources import files
 _NEVER = -1
 
 
-def stream_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A Parquet table, a folder or one file, as a stream."""
+def stream_table(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
+    """A Parquet table, a folder or one file, as a stream; ``max_files`` bounds a batch, so that
+    a backlog becomes many batches instead of one."""
+    path = path.rstrip("/")
     schema = schema or spark.read.parquet(path).schema
-    # Written as a pattern because the file source refuses a plain file.
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # The file source takes paths as patterns: signs that mean something there are bracketed.
+    plain = re.sub(r"([\[\]{}*?\\])", r"[\1]", path) if re.search(r"[\[\]{}*?\\]", path) else path
+    # It refuses a plain file, but takes a pattern that fits only it.
+    return reader.parquet(f"{plain[:-1]}[{plain[-1]}]" if files.is_file(spark, path) else plain)
 
 
 def _state(spark: SparkSession, path: str) -> dict:
@@ -97,9 +105,11 @@ def read_latest(
 
 
 def refresh_counts(
-    stream: DataFrame, path: str, ts: str, dims: Sequence[str], watermark: str | None = None
+    stream: DataFrame, path: str, ts: str, dims: Sequence[str], watermark: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Rows per day and ``dims``; each batch appends the totals it changed.
+    """Rows per day and ``dims``; each batch appends the totals it changed, and ``compact_every``
+    batches they are folded into the base.
 
     The state is one row per day and ``dims``. A ``watermark`` closes older days, which
     makes it smaller still, but then later arrivals for a closed day are not counted.
@@ -112,7 +122,13 @@ def refresh_counts(
         counts = counts.select(instant_day("__window.start").alias("day"), *dims, "cnt")
     else:
         counts = stream.groupBy(F.to_date(ts).alias("day"), *dims).agg(total)
-    return _start(counts, lambda batch, batch_id: _write_change(batch, path, batch_id), path, "update")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _write_change(batch, path, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, ["day", *dims], ["batch_id"])
+
+    return _start(counts, handle, path, "update")
 
 
 def read_counts(spark: SparkSession, path: str, dims: Sequence[str]) -> DataFrame:

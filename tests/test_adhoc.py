@@ -51,3 +51,15 @@ def test_quick_chart(spark):
     chart = quick_chart(adhoc(spark, "SELECT id, status, count(*) AS n FROM data GROUP BY 1, 2"))
     assert chart.columns == ["label", "value"] and {tuple(r) for r in chart.collect()} == {(1, 1), (2, 1), (3, 1)}
     assert quick_chart(adhoc(spark, "SELECT id, status FROM data")) is None
+
+
+def test_a_saved_view_answers_from_the_newest_snapshot(spark, tmp_path):
+    from snapline.plans.snapshot import snapshot_views, write_snapshot
+
+    path = str(tmp_path / "s")
+    write_snapshot(spark.range(3), path)
+    snapshot_views(spark, path)
+    saved_view(spark, "kept", "SELECT * FROM data WHERE id >= 0;")
+    write_snapshot(spark.range(10), path)
+    snapshot_views(spark, path)
+    assert spark.table("kept").count() == 10

@@ -76,3 +76,17 @@ def test_whole_dashboard_from_a_spec(spark):
     assert frames["kpis"].first()[0] == 2.0
     assert [df.count() for df in frames["widgets"]] == [1, 2]
     assert frames["filters"]["s"].count() == 2
+
+
+def test_lines_of_a_dashboard_are_zero_filled(spark):
+    df = spark.createDataFrame([("d1", "a", 1), ("d2", "a", None), ("d3", "b", 2), (None, None, 3)], "d string, s string, v int")
+    spec = {"widgets": [{"type": "line", "x": "d", "y": "v", "agg": "sum", "series": "s"}, {"type": "line", "x": "d", "y": "v", "agg": "sum"}]}
+    several, single = dashboard(df, spec)["widgets"]
+    got = {(r.x, r.s): r.y for r in several.collect()}
+    assert len(got) == 4 * 3 and got["d1", "a"] == 1 and got["d2", "a"] == 0 and got["d2", "b"] == 0 and got[None, None] == 3
+    assert {(r.x, r.y) for r in single.collect()} == {("d1", 1.0), ("d2", 0.0), ("d3", 2.0), (None, 3.0)}
+
+
+def test_sums_of_large_integers_do_not_overflow(spark):
+    df = spark.range(4).selectExpr("9223372036854775807L AS `a.b`")
+    assert kpis(df, [{"agg": "sum", "field": "a.b"}]).first()[0] == 4 * (2.0**63)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from snapline.operators.joins import anti_not_in, decode, left_by_key, semi_window, spread_join
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import (
-    distinct_ids, jdbc_predicates, key_stats, restrict_to_keys, restrict_to_range,
+    distinct_ids, key_stats, restrict_to_keys, restrict_to_range,
 )
 
 
@@ -115,9 +115,13 @@ def test_key_stats_and_distinct_ids(spark, rows):
     assert rows(distinct_ids(df, "k")) == [(1,), (4,)]
 
 
-def test_jdbc_predicates():
-    assert jdbc_predicates("id", []) == ["id IN (NULL)"]
-    assert jdbc_predicates("id", [None, float("nan")]) == ["id IN (NULL)"]
-    assert jdbc_predicates("id", [1, 2.0, 2, 2.5, None, 4], 3) == ["id IN (1, 2, 2.5)", "id IN (4)"]
-    assert jdbc_predicates("n", ["o'k"]) == ["n IN ('o''k')"]
-    assert len(jdbc_predicates("id", range(10_001))) == 3
+def test_bucket_predicates_cover_each_key_once():
+    from snapline.sources.readers import key_buckets
+
+    tests = key_buckets("id", 4)
+    assert len(tests) == 5 and tests[0] == "MOD(id, 4) = 0" and tests[-1] == "id IS NULL"
+    import duckdb
+
+    parts = " UNION ALL ".join(f"SELECT id FROM t WHERE {t}" for t in tests)
+    got = duckdb.sql(f"WITH t AS (SELECT unnest([-9, -4, -1, 0, 1, 2, 3, 7, 8, NULL]) AS id) SELECT id FROM ({parts}) ORDER BY id").fetchall()
+    assert [r[0] for r in got] == [-9, -4, -1, 0, 1, 2, 3, 7, 8, None]

@@ -13,7 +13,7 @@ from snapline.operators.joins import anti_not_in, left_window, semi_window, spre
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import restrict_to_keys
 from snapline.plans.assemble import driver_history
-from snapline.session import size_shuffles
+from snapline.session import partitions_for, scratch, size_shuffles
 from tests.conftest import SMALL
 
 NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1"}
@@ -122,8 +122,11 @@ def _cases(hot, other):
     }
 
 
+@pytest.mark.parametrize("partitions", ["4", "2500"])
 @pytest.mark.parametrize("name", ["restrict", "not in", "window", "left", "two lookups"])
-def test_hot_keys_are_split_and_nothing_is_lost(hot, other, name, conf):
+def test_hot_keys_are_split_and_nothing_is_lost(hot, other, name, partitions, conf):
+    """Also above 2,000 partitions, where map outputs report averages unless told otherwise."""
+    conf(spark__sql__shuffle__partitions=partitions)
     text, digest = run(_cases(hot, other)[name])
     assert text.count("skew=true") == (2 if name == "two lookups" else 1)
     conf(spark__sql__adaptive__skewJoin__enabled="false")
@@ -138,15 +141,21 @@ def test_joining_a_ranked_side_in_place_would_not_split(hot, other):
 
 def test_dense_grid_is_whole(spark):
     points = spark.range(200).selectExpr("id % 20 AS x", "string(id) AS s", "1.0D AS y")
-    assert densify(points, blocks=7).count() == 20 * 200
+    assert densify(points).count() == 20 * 200
 
 
 def test_shuffles_grow_with_the_input(spark, conf):
     conf(spark__sql__adaptive__coalescePartitions__initialPartitionNum="4")
-    from snapline import session
-
     assert size_shuffles(spark, SMALL) == 4
-    session._input_bytes["huge"] = 100 << 40
-    session._input_bytes["medium"] = 64 << 30
-    assert size_shuffles(spark, "huge") == session.MOST_PARTITIONS
-    assert size_shuffles(spark, "medium") == 1536
+    assert partitions_for(64 << 30) == 1536
+    assert (100 << 40) * 3 // partitions_for(100 << 40) <= 128 << 20
+    assert partitions_for(100 << 40, most=50_000) == 50_000
+
+
+def test_scratch_is_shared_where_executors_are_elsewhere(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    unset = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master)), "x")

@@ -218,9 +218,9 @@ def test_column_profile_and_numeric_columns(spark):
 
 
 def test_relational_options():
-    spec = SourceSpec("s", "jdbc", "SELECT 1 AS x;", {"url": "jdbc:postgresql://h/d"})
+    spec = SourceSpec("s", "jdbc", "SELECT 1 AS x;", {"url": "jdbc:postgresql://h/d"}, one_task=True)
     assert jdbc_options(spec) == {"fetchsize": "10000", "url": "jdbc:postgresql://h/d", "dbtable": "(SELECT 1 AS x) q"}
-    assert jdbc_options(SourceSpec("s", "jdbc", "a.b", {"url": "u"}))["dbtable"] == "a.b"
+    assert jdbc_options(SourceSpec("s", "jdbc", "a.b", {"url": "u"}, predicates=("x = 1",)))["dbtable"] == "a.b"
     with pytest.raises(ValueError):
         jdbc_options(SourceSpec("s", "jdbc", "a.b", {"url": "u", "numPartitions": "4"}))
     with pytest.raises(ValueError):
@@ -230,3 +230,55 @@ def test_relational_options():
 def test_table_source(spark):
     spark.range(4).createOrReplaceTempView("warehouse_table")
     assert read_source(spark, SourceSpec("s", "table", "warehouse_table")).count() == 4
+
+
+def test_a_relation_is_not_read_by_one_task_unasked():
+    with pytest.raises(ValueError, match="one task"):
+        jdbc_options(SourceSpec("s", "jdbc", "a.b", {"url": "u"}))
+
+
+def test_unreadable_source_files_are_left_out(spark, tmp_path):
+    torn = tmp_path / "torn"
+    spark.range(5).write.parquet(str(torn))
+    broken = spark.read.schema("id long").parquet(str(torn))
+    for part in torn.glob("*.parquet"):
+        part.write_bytes(b"no parquet")
+    path = str(tmp_path / "s")
+    manifest = write_snapshot(spark.range(3), path, sources={"broken": broken, "good": spark.range(1)})
+    assert manifest.source_tables == ["good"]
+    assert files.children(spark, f"{path}/versions/{manifest.version}/sources") == ["good"]
+
+
+def test_failed_versions_leave_nothing_and_pruning_counts_published_ones(spark, tmp_path):
+    path = str(tmp_path / "s")
+    good = [write_snapshot(spark.range(n), path).version for n in (1, 2)]
+    for _ in range(2):
+        with pytest.raises(ContractError):
+            write_snapshot(spark.range(1), path, rules=Rules(min_rows=5))
+    assert sorted(files.children(spark, f"{path}/versions")) == sorted(good)
+    (tmp_path / "s" / "versions" / "99990101T000000-crashed").mkdir()
+    assert prune_versions(spark, path, keep=2) == ["99990101T000000-crashed"]
+    assert read_manifest(spark, path).published == good
+    third = write_snapshot(spark.range(3), path).version
+    assert prune_versions(spark, path, keep=2) == [good[0]]
+    assert read_manifest(spark, path).published == [good[1], third] and read_snapshot(spark, path).count() == 3
+
+
+def test_builds_keep_as_many_versions_as_asked(spark, tmp_path, seed):
+    path = str(tmp_path / "s")
+    for rows in (1, 2, 3, 4):
+        manifest = run_pipeline(spark, _spec(rows, location=seed), path, keep=2)
+    assert files.children(spark, f"{path}/versions") == sorted(manifest.published) and len(manifest.published) == 2
+
+
+def test_data_is_built_from_the_written_sources(spark, tmp_path):
+    seen = {}
+
+    def build(written):
+        seen.update(written)
+        return written["one"].join(written["two"], "id")
+
+    path = str(tmp_path / "s")
+    write_snapshot(build, path, sources={"one": spark.range(5), "two": spark.range(3, 9)}, spark=spark)
+    assert all("versions" in df.inputFiles()[0] for df in seen.values())
+    assert read_snapshot(spark, path).count() == 2
