@@ -282,14 +282,15 @@ def repeated_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     runs = runs.select(F.col("place").alias("p"), F.col("seg").alias("s"), "first", F.col("n").alias("run"))
     at = spread_join(segments.select("d1", "d2", "place", "seg", "start"), runs, [("place", "p"), ("seg", "s")], "inner")
     first = F.col("start") + F.col("first")
-    return at.groupBy("d1", "d2").agg(F.collect_set(F.struct(first.alias("a"), (first + F.col("run") - 1).alias("b"))).alias("spans"))
+    spans = at.select("d1", "d2", first.alias("a"), (first + F.col("run") - 1).alias("b")).distinct()  # equal rows: once
+    return spans.groupBy("d1", "d2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the bytes left) per document."""
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
-    spans = _maybe_broadcast(_table(spark, repeated_spans(keyed, window), "spans"), F.size("spans"))
+    spans = _table(spark, repeated_spans(keyed, window), "spans")
     schema = keyed.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept", "binary")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
