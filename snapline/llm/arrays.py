@@ -76,6 +76,18 @@ def row_slices(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches, small ones together up to about ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and sum(len(b) for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 @dataclass
 class Words:
     """Hash of each word of some rows, and where the words of each row begin."""

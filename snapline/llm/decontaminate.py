@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapline.llm.arrays import Words, ragged, row_slices, text_bytes, words_of
+from snapline.llm.arrays import Words, gathered, ragged, row_slices, text_bytes, words_of
 from snapline.session import scratch
 
 SEGMENT_BYTES = 6 << 20
@@ -65,7 +65,7 @@ def build_index(docs: DataFrame, path: str, id_col: str, text_col: str = "text",
         )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, SEGMENT_BYTES):
             ids = batch.column(0)
             data, bounds = text_bytes(batch.column(1))
             for low, high in row_slices(bounds, SEGMENT_BYTES):

@@ -17,6 +17,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+# Texts that a Python worker holds at once: two workers share what an executor's heap leaves.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
 _shipped: set[str] = set()
 
 
@@ -34,6 +40,8 @@ def ready(spark: SparkSession) -> SparkSession:
                 made.write(source, source.relative_to(home.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     return tune(spark)
 
 

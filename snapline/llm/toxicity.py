@@ -43,7 +43,7 @@ DISCOUNT, GRANTED = 0.75, 4.0
 THRESHOLD = 0.3
 # Labelled rows up to which the label table is broadcast (9 bytes each); beyond, it is a shuffled join.
 BROADCAST_LABELS = 2_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def remainder(id_col: str, salt: str, n: int) -> Column:
