@@ -8,6 +8,7 @@ from snapline.llm.decontaminate import decontaminate
 from snapline.llm.language import languages
 from snapline.llm.pack import pack
 from snapline.llm.pii import personal_data
+from snapline.llm.quality import resample
 from snapline.llm.registry import query, table
 from snapline.llm.repeats import remove_repeats
 from snapline.llm.simhash import near_duplicates
@@ -48,6 +49,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op4_fingerprints")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
