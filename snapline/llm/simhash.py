@@ -179,8 +179,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bi
     named = roots(distinct.select("fp"), bits).withColumnRenamed("fp", "f")
     chosen = (
         distinct.join(named, F.col("fp") == F.col("f")).groupBy("root").agg(F.min("least").alias("least"))
-        .select("root", F.col("least.__id").alias("__kept"), F.col("least.__digest").alias("__kept_digest"))
+        .select(F.col("root").alias("__root"), F.col("least.__id").alias("__kept"), F.col("least.__digest").alias("__kept_digest"))
     )
     same = F.col(id_col).eqNullSafe(F.col("__kept")) & (F.col("__digest") == F.col("__kept_digest"))
-    kept = keyed.join(chosen, same).dropDuplicates(["root"])
+    kept = keyed.join(chosen, same).dropDuplicates(["__root"])
     return kept.select(*docs.columns)
