@@ -2,21 +2,28 @@
 
 Two word models, toxic and ordinary, with absolute discounting:
 
-    P_c(w | v) = max(n_c(vw) - D, 0) / n_c(v) + g_c(v) * P_c(w)
+    P_c(w | v) = P(w | v) * P(c | vw) / P(c | v)
+    P(c | vw)  = (max(n_c(vw) - D, 0) + (D * k(vw) + L) * q_c(vw)) / (n(vw) + L)
+    q_c(vw)    = P(c | v) * P_c(w) / (the same of both classes)
+    P(c | v)   = (max(n_c(v) - D, 0) + (D * k(v) + M) * n_c / n) / (n(v) + M)
     P_c(w)     = (max(n_c(w) - D, 0) + M * n_c / n) / (all of these)
 
-The last backoff is shared: both classes grant every word the same M occurrences, in proportion to
+k is how many classes have seen it. P(w | v), of both classes together, cancels in their ratio. The
+backoff is shared: both classes grant every word the same M occurrences, in proportion to
 their sizes, so an expression that was seen a few times in one class alone says little. (Shares by
 the number of preceding words instead, which grow with a word's own count, let two occurrences
-weigh like a hundred: on the tables of sf0.1 the held-out AUC fell from 0.94 to 0.87.) A text's
+weigh like a hundred: on the tables of sf0.1 the held-out AUC fell from 0.94 to 0.87.) Word pairs
+are granted L occurrences, in the proportion that their two words predict: the rarer a pair, the less
+it says beyond its words, and one that was not learned from nothing (P_c(w) remains). A text's
 evidence is the difference of its two log-likelihoods per word, less the median word's, which only
 tells what language and subject the labelled texts of each class favour. A logistic curve, fitted on
 labelled texts that the counts have not seen, turns it into a probability.
 
-Counts cover all labelled rows and are summed by Spark. The model that the tasks get is of fixed
-size: words are hashed to ``WORD_BITS`` bits, and of the word pairs seen ``PAIR_LEAST`` times the
-``PAIRS`` most frequent keep counts of their own (the mass of the others goes to the backoff, as
-discounted mass does).
+Counts cover all labelled rows but those of the curve, are summed by Spark and stay a table with a
+row for every word and every pair, however rare, keyed by hashes of 63 bits. Texts go in segments of
+some MB; each looks up its distinct words and pairs, once each, by a join with that table, so no
+key has more rows than there are segments. A bitmap of the table's keys, of bounded size, keeps most
+keys that the table does not have out of that join; what it lets through finds nothing there.
 
 Defined results: null and empty texts have no words and get the curve's value at no evidence;
 labels that are null are ignored; of several labels of an id the toxic one counts; rows without a
@@ -26,6 +33,7 @@ against any text, every score is the share of toxic labels; other columns are ig
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,17 +41,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from snapline.llm.arrays import row_slices, text_bytes, words_of
+from snapline.llm.arrays import Words, gathered, row_slices, text_bytes, words_of
+from snapline.operators.joins import spread_join
 from snapline.session import scratch
 
+# Of the fixed-table Model only.
 WORD_BITS = 20
-PAIRS, PAIR_LEAST = 1 << 17, 100
 DISCOUNT, GRANTED = 0.75, 4.0
+# A pair seen so often weighs as much as what its words predict. With 4 as for words, held-out AUC on
+# check_s was 0.952.
+PAIR_GRANTED = 100.0
 THRESHOLD = 0.3
 # Labelled rows up to which the label table is broadcast (9 bytes each); beyond, it is a shuffled join.
 BROADCAST_LABELS = 2_000_000
 SLICE_BYTES = 2 << 20
+SEGMENT_BYTES = 4 << 20
+# Bits of the bitmap a key, and at most (as a power of two).
+BITMAP_PER_KEY, BITMAP_MOST = 16, 28
 
 
 def remainder(id_col: str, salt: str, n: int) -> Column:
@@ -52,7 +68,10 @@ def remainder(id_col: str, salt: str, n: int) -> Column:
 
 @dataclass
 class Model:
-    """Probabilities of hashed words, discounted counts of the kept pairs, and the curve."""
+    """The models in tables of fixed size, of words of ``WORD_BITS`` bits and stated pairs without grants.
+
+    No query uses it: its tables neither grow with the vocabulary nor tell collisions apart.
+    """
 
     word: np.ndarray  # 2 x words: P_toxic(w), P_ordinary(w)
     backoff: np.ndarray  # 2 x words: g_c(v)
@@ -79,20 +98,23 @@ class Model:
         hit = self.pairs[place] == key if len(self.pairs) else np.zeros(len(key), bool)
         p[:, deep[hit]] += self.pair[:, place[hit]]
         ratio = np.log(p[0]) - np.log(p[1])
-        total = np.concatenate([[0.0], np.cumsum(ratio)])
-        mean = (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(n, 1)
-        row = np.repeat(np.arange(len(n)), n)
-        middle = np.minimum(found.first[:-1] + n // 2, len(w) - 1)
-        return np.where(n > 0, mean - ratio[np.lexsort((ratio, row))][middle], 0.0), n
-
-    def probability(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_features(x, n) @ self.curve, -30, 30)))
+        return _less_median(ratio, found), n
 
 
 def _hashed(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
+def _less_median(ratio: np.ndarray, found: Words) -> np.ndarray:
+    """Per row: the mean of its words' ratios less their median."""
+    n = found.per_row
+    total = np.concatenate([[0.0], np.cumsum(ratio)])
+    mean = (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(n, 1)
+    row = np.repeat(np.arange(len(n)), n)
+    middle = np.minimum(found.first[:-1] + n // 2, len(ratio) - 1)
+    return np.where(n > 0, mean - ratio[np.lexsort((ratio, row))][middle], 0.0)
+
+
 def _features(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     size = np.log1p(n) / 5
     return np.stack([np.ones(len(x)), 10 * x, size, 10 * x * size], axis=1)
@@ -113,79 +135,202 @@ def _fit_curve(x: np.ndarray, n: np.ndarray, toxic: np.ndarray, ordinary: np.nda
     return weight
 
 
-def _pair_counts(labelled: DataFrame) -> DataFrame:
-    """``key, n``: pairs of hashed words (the first word of a text after itself as ``v = w``'s own
-    start mark is left out), toxic counts in the upper and ordinary ones in the lower 32 bits."""
+def made_model(n: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model | None:
+    """From the counts of all words and of the kept pairs, per class."""
+    total = n.sum(axis=1, keepdims=True)
+    if not total.all():
+        return None
+    word = np.maximum(n - DISCOUNT, 0) + GRANTED * total / total.sum()
+    word /= word.sum(axis=1, keepdims=True)
+    order = np.argsort(key)
+    key, count = key[order], count[:, order]
+    v = key >> WORD_BITS
+    pair = np.maximum(count - DISCOUNT, 0) / np.maximum(n[:, v], 1)
+    given = np.stack([np.bincount(v, weights=p, minlength=n.shape[1]) for p in pair])
+    return Model(word.astype(np.float32), np.maximum(1 - given, 1e-6).astype(np.float32), key, pair.astype(np.float32), np.zeros(4))
+
+
+def _keys(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of words (even), of pairs of each word with the one before it (odd), and which words have one before."""
+    word = found.hashes & ~np.uint64(1)
+    inner = np.ones(len(word), bool)
+    inner[found.first[:-1][found.per_row > 0]] = False
+    pair = np.roll(word, 1) * np.uint64(0x9E3779B97F4A7C15) + word * np.uint64(0xC2B2AE3D27D4EB4F)
+    pair ^= pair >> np.uint64(32)
+    pair *= np.uint64(0xD6E8FEB86659FD93)
+    return word, (pair ^ (pair >> np.uint64(29))) | np.uint64(1), inner
+
+
+def _counts(labelled: DataFrame) -> DataFrame:
+    """``key, toxic, ordinary``: occurrences of every word and of every pair."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, SEGMENT_BYTES):
             data, bounds = text_bytes(batch.column(0))
             toxic = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), dtype=bool)
-            for low, high in row_slices(bounds, SLICE_BYTES):
+            for low, high in row_slices(bounds, SEGMENT_BYTES):
                 own = bounds[low : high + 1]
                 found = words_of(data[own[0] : own[-1]], own - own[0])
-                w = _hashed(found.hashes)
-                row = np.repeat(np.arange(low, high), found.per_row)
-                inner = np.ones(len(w), bool)
-                inner[found.first[:-1][found.per_row > 0]] = False
-                v = np.where(inner, np.roll(w, 1), 0) if len(w) else w
-                # Bit 40 marks a text's first word, which counts as a word but is in no pair.
-                key = np.where(inner, (v << WORD_BITS) | w, (1 << 2 * WORD_BITS) | w)
-                unique, place = np.unique(key, return_inverse=True)
-                n = np.bincount(place, weights=np.where(toxic[row], 1 << 32, 1), minlength=len(unique)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(n)], names=["key", "n"])
+                word, pair, inner = _keys(found)
+                rude = np.repeat(toxic[low:high], found.per_row)
+                # Toxic counts in the upper and ordinary ones in the lower 32 bits.
+                once = np.where(np.concatenate([rude, rude[inner]]), 1 << 32, 1)
+                unique, place = np.unique(np.concatenate([word, pair[inner]]), return_inverse=True)
+                n = np.bincount(place, weights=once, minlength=len(unique)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     parts = labelled.mapInArrow(counted, "key long, n long")
     toxic, ordinary = F.shiftright("n", 32), F.col("n").bitwiseAND(F.lit((1 << 32) - 1))
     return parts.groupBy("key").agg(F.sum(toxic).alias("toxic"), F.sum(ordinary).alias("ordinary"))
 
 
-def _model(counts: DataFrame) -> Model | None:
-    """From the pair counts; what comes to the driver has the fixed sizes of a model."""
-    words = 1 << WORD_BITS
-    w = F.col("key").bitwiseAND(F.lit(words - 1))
-    by_word = counts.groupBy(w.cast("int").alias("w")).agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
-    seen = F.col("toxic") + F.col("ordinary")
-    pair = (F.shiftright("key", 2 * WORD_BITS) == 0) & (seen >= PAIR_LEAST)
-    best = counts.where(pair).orderBy(F.desc(seen), "key").limit(PAIRS).toArrow()
-    number = lambda table, name: table.column(name).to_numpy().astype(np.float64)
-    place = by_word.column("w").to_numpy()
-    n = np.zeros((2, words))
-    n[0, place], n[1, place] = number(by_word, "toxic"), number(by_word, "ordinary")
-    return made_model(n, best.column("key").to_numpy(), np.stack([number(best, "toxic"), number(best, "ordinary")]))
+def _bitmap(counts: DataFrame) -> np.ndarray:
+    """Which leading bits the keys have, in words of 64."""
+    bits = min(max((BITMAP_PER_KEY * counts.count()).bit_length(), 6), BITMAP_MOST)
+    slot = F.shiftrightunsigned("key", 64 - bits)
+    cells = counts.select(F.shiftright(slot, 6).alias("cell"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    held = cells.groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("held")).toArrow()
+    made = np.zeros(1 << (bits - 6), np.uint64)
+    made[held.column("cell").to_numpy()] = held.column("held").to_numpy().view(np.uint64)
+    return made
 
 
-def made_model(n: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model | None:
-    """From the counts of all words and of the kept pairs, per class."""
-    total = n.sum(axis=1, keepdims=True)
-    if not total.all():
+@dataclass
+class Totals:
+    """Per class: occurrences and different words; of both: different words."""
+
+    n: np.ndarray
+    kinds: np.ndarray
+    every: int
+
+    @property
+    def share(self) -> np.ndarray:
+        return self.n / self.n.sum()
+
+    def word(self, n: np.ndarray) -> np.ndarray:
+        """P_c(w); all unknown words are one more word."""
+        grant = GRANTED * self.share[:, None]
+        return (np.maximum(n - DISCOUNT, 0) + grant) / (self.n - DISCOUNT * self.kinds + grant[:, 0] * (self.every + 1))[:, None]
+
+    def ratios(self, found: Words, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Log-likelihood ratio of each word, given the counts that its text may need (by sorted key)."""
+        word, pair, inner = _keys(found)
+        own, place = np.unique(word, return_inverse=True)
+        of = _looked_up(own, key, count)
+        ratio = (lambda p: np.log(p[0]) - np.log(p[1]))(self.word(of))
+        # Log odds of the classes after each word, and by what each pair moves them.
+        before = _odds(of, np.full(len(own), np.log(self.n[0] / self.n[1])), GRANTED)
+        made = ratio[place]
+        deep = np.flatnonzero(inner)
+        n = _looked_up(pair[deep], key, count)
+        hit = n.any(axis=0)
+        deep = deep[hit]
+        v = before[place[deep - 1]]
+        made[deep] = _odds(n[:, hit], v + made[deep], PAIR_GRANTED) - v
+        return made
+
+
+def _looked_up(wanted: np.ndarray, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    if not len(key):
+        return np.zeros((2, len(wanted)))
+    place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+    return count[:, place] * (key[place] == wanted)
+
+
+def _odds(n: np.ndarray, expected: np.ndarray, granted: float) -> np.ndarray:
+    """Log odds of the classes where their counts are ``n`` and the odds without them would be ``expected``."""
+    free = DISCOUNT * (n > 0).sum(axis=0) + granted
+    toxic = 1 / (1 + np.exp(-expected))
+    p = np.maximum(n - DISCOUNT, 0) + free * np.stack([toxic, 1 - toxic])
+    return np.log(p[0]) - np.log(p[1])
+
+
+def _totals(counts: DataFrame) -> Totals | None:
+    word = counts.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
+    some = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    row = word.agg(F.sum("toxic"), F.sum("ordinary"), some(F.col("toxic") > 0), some(F.col("ordinary") > 0), F.count("*")).first()
+    if not row[0] or not row[1]:
         return None
-    word = np.maximum(n - DISCOUNT, 0) + GRANTED * total / total.sum()
-    word /= word.sum(axis=1, keepdims=True)
-    order = np.argsort(key)
-    key, count = key[order], count[:, order]
-    v = key >> WORD_BITS
-    pair = np.maximum(count - DISCOUNT, 0) / np.maximum(n[:, v], 1)
-    given = np.stack([np.bincount(v, weights=p, minlength=n.shape[1]) for p in pair])
-    return Model(word.astype(np.float32), np.maximum(1 - given, 1e-6).astype(np.float32), key, pair.astype(np.float32), np.zeros(4))
+    return Totals(np.array(row[:2], dtype=float), np.array(row[2:4], dtype=float), row[4])
 
 
-def _evidence(docs: DataFrame, model, columns: list[str], schema: str, finish) -> DataFrame:
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+def _segments(docs: DataFrame, columns: list[Column], path: str) -> DataFrame:
+    """Write and read ``segment, rows, bounds, text``: the texts of some MB, compressed, with ``columns`` of each."""
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, SEGMENT_BYTES):
             data, bounds = text_bytes(batch.column(0))
-            for low, high in row_slices(bounds, SLICE_BYTES):
+            for low, high in row_slices(bounds, SEGMENT_BYTES):
                 own = bounds[low : high + 1]
-                x, n = model.value.evidence(data[own[0] : own[-1]], own - own[0])
-                rest = [c.slice(low, high - low) for c in batch.columns[1:]]
-                yield finish(rest, x, n)
+                raw = data[own[0] : own[-1]].tobytes()
+                rows = batch.column(1).slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([uuid.uuid4().int >> 66], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                        pa.array([(own - own[0]).astype("<i8").tobytes()], pa.binary()),
+                        pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary()),
+                    ],
+                    names=["segment", "rows", "bounds", "text"],
+                )
+
+    whole = docs.select("text", F.struct(*columns).alias("row"))
+    schema = StructType([
+        StructField("segment", LongType()), StructField("rows", ArrayType(whole.schema["row"].dataType)),
+        StructField("bounds", BinaryType()), StructField("text", BinaryType()),
+    ])
+    whole.mapInArrow(segments, schema).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def _words(bounds: bytes, text: bytes) -> Words:
+    bounds = np.frombuffer(bounds, "<i8")
+    return words_of(np.frombuffer(pa.decompress(text, int(bounds[-1]), "zstd", asbytes=True), np.uint8), bounds)
+
+
+def _evidence(docs: DataFrame, columns: list[Column], counts: DataFrame, totals: Totals, bitmap: np.ndarray) -> DataFrame:
+    """``columns``, the evidence ``__x`` and the number of words ``__n`` of each row."""
+    spark = docs.sparkSession
+    segments = _segments(docs, columns, scratch(spark, "segments"))
+    shared, bits = spark.sparkContext.broadcast(bitmap), len(bitmap).bit_length() + 5
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for segment, bounds, text in zip(*(c.to_pylist() for c in batch.columns)):
+                word, pair, inner = _keys(_words(bounds, text))
+                key = np.unique(np.concatenate([word, pair[inner]]))
+                slot = key >> np.uint64(64 - bits)
+                key = key[(shared.value[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), segment)), pa.array(key.view(np.int64))], names=["segment", "key"])
+
+    found = segments.select("segment", "bounds", "text").mapInArrow(wanted, "segment long, key long").join(counts, "key")
+    schema = StructType([*segments.schema["rows"].dataType.elementType.fields, *StructType().add("__x", "double").add("__n", "long").fields])
+    names = schema.fieldNames()
+
+    def scored(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        key = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        count = np.stack([rows.column(name).to_numpy()[order] for name in ("toxic", "ordinary")]).astype(float)
+        made = []
+        for at in range(len(texts)):
+            words = _words(texts.column("bounds")[at].as_py(), texts.column("text")[at].as_py())
+            x = _less_median(totals.ratios(words, key[order], count), words) if len(words.hashes) else np.zeros(len(words.per_row))
+            own = texts.column("rows")[at].values
+            made.append(pa.Table.from_arrays([*(own.field(i) for i in range(len(names) - 2)), pa.array(x), pa.array(words.per_row)], names=names))
+        return pa.concat_tables(made)
+
+    return segments.groupBy("segment").cogroup(found.groupBy("segment")).applyInArrow(scored, schema)
 
-    return docs.select("text", *columns).mapInArrow(scored, schema)
 
+def _score(curve: np.ndarray) -> Column:
+    x, size = 10 * F.col("__x"), F.log1p("__n") / 5
+    z = sum(float(weight) * f for weight, f in zip(curve[1:], (x, size, x * size))) + float(curve[0])
+    return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id") -> tuple[Model | None, float]:
-    """A model from the rows of ``docs`` where ``learn`` holds and ``labels`` knows the id; a fifth
-    of them, by id, fits the curve. Also the share of toxic labels."""
+
+def scores(docs: DataFrame, labels: DataFrame, learn: Column, columns: list[Column], id_col: str = "doc_id") -> DataFrame:
+    """``columns`` and ``score`` per row, by a model from the rows of ``docs`` where ``learn`` holds and
+    ``labels`` knows the id; a fifth of them, by id, fits the curve."""
     spark = docs.sparkSession
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max("toxic") > 0).alias("toxic"))
     if known.count() <= BROADCAST_LABELS:
@@ -193,54 +338,40 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     kept = docs.where(learn).select(id_col, "text").join(known, id_col)
     fits = remainder(id_col, ":curve", 5) == 0
     path = scratch(spark, "pairs")
-    _pair_counts(kept.where(~fits).select("text", "toxic")).write.parquet(path)
-    model = _model(spark.read.parquet(path))
-    n, toxic = kept.agg(F.count("*"), F.coalesce(F.avg(F.col("toxic").cast("int")), F.lit(0.0))).first()
-    if model is None:
-        return None, toxic
-    shared = spark.sparkContext.broadcast(model)
-
-    def finish(rest, x, n):
-        x, n = np.round(np.clip(x, -8, 8) * 500).astype(np.int64), np.round(np.log2(n + 1) * 2).astype(np.int64)
-        return pa.RecordBatch.from_arrays([*rest, pa.array(x), pa.array(n)], names=["toxic", "x", "n"])
-
-    binned = _evidence(kept.where(fits), shared, ["toxic"], "toxic boolean, x long, n long", finish)
-    rows = binned.groupBy("x", "n").agg(F.sum(F.col("toxic").cast("int")).alias("t"), F.count("*").alias("all")).collect()
+    _counts(kept.where(~fits).select("text", "toxic")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    share = kept.agg(F.coalesce(F.avg(F.col("toxic").cast("int")), F.lit(0.0))).first()[0]
+    totals = _totals(counts)
+    if totals is None:
+        return docs.select(*columns, F.lit(float(share)).alias("score"))
+    own = [*columns, F.col(id_col).alias("__id"), F.coalesce(learn & fits, F.lit(False)).alias("__fits")]
+    path = scratch(spark, "evidence")
+    _evidence(docs, own, counts, totals, _bitmap(counts)).write.parquet(path)
+    evidence = spark.read.parquet(path)
+    bins = [F.rint(F.least(F.greatest("__x", F.lit(-8.0)), F.lit(8.0)) * 500).alias("x"), F.rint(F.log2(F.col("__n") + 1) * 2).alias("n")]
+    binned = evidence.where("__fits").join(known.withColumnRenamed(id_col, "__id"), "__id").groupBy(*bins)
+    rows = binned.agg(F.sum(F.col("toxic").cast("int")).alias("t"), F.count("*").alias("all")).collect()
     if rows:
         x, n, t, every = np.array([[r["x"], r["n"], r["t"], r["all"]] for r in rows], dtype=np.float64).T
-        model.curve = _fit_curve(x / 500, 2 ** (n / 2) - 1, t, every - t)
+        curve = _fit_curve(x / 500, 2 ** (n / 2) - 1, t, every - t)
     else:
-        model.curve = np.array([np.log((toxic + 1e-6) / (1 - toxic + 1e-6)), 1.0, 0.0, 0.0])
-    return model, toxic
-
-
-def score(docs: DataFrame, model: Model | None, share: float, columns: list[str], name: str = "score") -> DataFrame:
-    """``columns`` and the score, as ``name``, per row."""
-    if model is None:
-        return docs.select(*columns, F.lit(float(share)).alias(name))
-    schema = docs.select(*columns).schema.add(name, "double")
-    names = schema.fieldNames()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def finish(rest, x, n):
-        return pa.RecordBatch.from_arrays([*rest, pa.array(shared.value.probability(x, n))], names=names)
-
-    return _evidence(docs, shared, columns, schema, finish)
+        curve = np.array([np.log((share + 1e-6) / (1 - share + 1e-6)), 1.0, 0.0, 0.0])
+    return evidence.withColumn("score", _score(curve)).drop("__id", "__fits", "__x", "__n")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted``; rows whose id's CRC-32 leaves 2 modulo 4 are held out."""
     held_out = F.coalesce(remainder(id_col, "", 4) == 2, F.lit(False))
-    model, share = train(docs, labels, F.col(id_col).isNotNull() & ~held_out, id_col)
-    scored = score(docs.select("text", F.col(id_col).alias("doc_id"), held_out.alias("held_out")), model, share, ["doc_id", "held_out"])
+    columns = [F.col(id_col).alias("doc_id"), held_out.alias("held_out")]
+    scored = scores(docs, labels, F.col(id_col).isNotNull() & ~held_out, columns, id_col)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more."""
     held_out = F.coalesce(remainder("doc_id", "", 4) == 2, F.lit(False))
-    model, share = train(docs, labels, F.col("doc_id").isNotNull() & ~held_out)
-    whole = docs.withColumn("__text", F.col("text"))
-    named = [c for c in whole.columns if c != "text"]
-    kept = score(whole, model, share, named, "__score").where(F.col("__score") < threshold)
-    return kept.withColumnRenamed("__text", "text").select(*docs.columns)
+    # The score depends on the text alone; null and empty texts have the same.
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    scored = scores(docs, labels, F.col("doc_id").isNotNull() & ~held_out, [digest.alias("__bad")])
+    bad = scored.where(F.col("score") >= threshold).select("__bad").distinct()
+    return spread_join(docs.withColumn("__digest", digest), bad, [("__digest", "__bad")], "left_anti").select(*docs.columns)
