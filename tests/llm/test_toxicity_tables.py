@@ -41,6 +41,15 @@ def test_pairs_that_are_rare_have_counts_of_their_own(llm):
     assert area(llm, doc) > 0.9
 
 
+def test_words_of_one_hash_cell_are_told_apart(llm):
+    names = [f"w{i}" for i in range(20_000)]
+    cells = {}
+    for name, cell in zip(names, T._hashed(words_of(*text_bytes(pa.array(names))).hashes).tolist()):
+        cells.setdefault(cell, []).append(name)
+    plain, rude = next(own for own in cells.values() if len(own) > 1)[:2]
+    assert area(llm, lambda i, toxic: text(i, *[[plain]] * 8, *[[rude]] * (2 * toxic))) > 0.9
+
+
 def test_evidence_of_tables_against_brute_force(llm, monkeypatch):
     monkeypatch.setattr(T, "SEGMENT_BYTES", 40)  # many segments
     learned = [("a b c a b d", True), ("b a b", False), ("c c a b", False), ("d", False), ("", True), (None, False), ("a b a c", True)]
