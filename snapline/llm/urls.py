@@ -1,8 +1,9 @@
 """URL filter: rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
 Features are built-in expressions over the URL text, plus how often its suffix (the last two labels
-of the host) occurs among all pages and how often labelled URLs with that suffix are blocked. The
-trees are Spark's own and learn from labelled URLs, at most about ``LABELLED`` of them, chosen by hash.
+of the host) occurs among all pages and how often labelled URLs with that suffix are blocked, counted
+over all of them. The trees are Spark's own and learn from labelled rows, at most about ``LABELLED``
+of them, each drawn by itself, so that repeated URLs are drawn no more often than others.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is
 judged by the trees; repeated rows are separate pages; where the labels are all alike, or none, that
@@ -76,8 +77,8 @@ def judge(pages: DataFrame, labelled: DataFrame, columns: Sequence[str], limit:
     """
     spark = pages.sparkSession
     n = labelled.count()
-    drawn = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(min(1.0, limit / max(n, 1)) * (1 << 30)))
-    known = drawn.groupBy("suffix").agg(F.sum("blocked").alias("b"), F.count("*").alias("k"))
+    drawn = labelled.where(F.rand(SEED) < min(1.0, limit / max(n, 1)))
+    known = labelled.groupBy("suffix").agg(F.sum("blocked").alias("b"), F.count("*").alias("k"))
     seen = pages.groupBy("suffix").agg(F.log1p(F.count("*")).alias("suffix_pages"))
     stats = seen.join(known, "suffix", "full").select(
         F.col("suffix").alias("s"), F.coalesce("suffix_pages", F.lit(0.0)).alias("suffix_pages"),
