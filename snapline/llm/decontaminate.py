@@ -180,7 +180,8 @@ def _blocks(index: DataFrame, windows: DataFrame) -> Iterator[Queries]:
     """The windows in blocks small enough to broadcast, ordered by the index's own frequencies."""
     spark = index.sparkSession
     n_blocks = -(-windows.count() // BLOCK_WINDOWS)
-    windows = windows.withColumn("block", F.pmod(F.xxhash64("terms"), F.lit(max(1, n_blocks))))
+    # By item too: a window that many items share would fill one block.
+    windows = windows.withColumn("block", F.pmod(F.xxhash64("item", "terms"), F.lit(max(1, n_blocks))))
     frequency = (
         index.select(F.inline(F.arrays_zip("terms", "counts")))
         .groupBy("terms").agg(F.sum("counts").alias("n"))
