@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # Bytes that one vectorised step looks at: bounds its memory to some twenty times as much.
 PIECE = 1 << 20
@@ -17,16 +18,18 @@ _MIX = _U(0xBF58476D1CE4E5B9)
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """Per byte: is it part of a word (digits, ASCII letters, all of UTF-8 beyond ASCII),
-    and a random number in which A-Z and a-z agree."""
+    """Per byte: is it part of a word (digits, ASCII letters, all of UTF-8 beyond ASCII), and its lower case."""
     code = np.arange(256)
     upper = (code >= 65) & (code <= 90)
     word = ((code >= 48) & (code <= 57)) | upper | ((code >= 97) & (code <= 122)) | (code >= 128)
-    drawn = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-    return word, drawn[np.where(upper, code + 32, code)]
+    return word, np.where(upper, code + 32, code).astype(np.uint8)
 
 
-IS_WORD, VALUE = _letters()
+IS_WORD, LOWER = _letters()
+
+# Multipliers and turns of one step of the word hash, and words (bytes) beyond which a library hashes one at a time.
+_M1, _M2 = _U(0x9E3779B185EBCA87), _U(0xC2B2AE3D27D4EB4F)
+_LANE, LONG_WORD = 8, 1 << 12
 
 
 def powers(n: int, base: int = _STEP) -> np.ndarray:
@@ -38,9 +41,14 @@ def powers(n: int, base: int = _STEP) -> np.ndarray:
 _UP, _DOWN = powers(PIECE), powers(PIECE, pow(_STEP, -1, 1 << 64))
 
 
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = VALUE) -> np.ndarray:
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
     """64-bit hashes of ``data[start:end]`` for many spans at once: differences of one
-    running polynomial sum, so that overlapping spans cost nothing more."""
+    running polynomial sum, so that overlapping spans cost nothing more.
+
+    For short n-grams that go to buckets, and for picking places, only: modulo a power of two some
+    different strings of 512 bytes and more agree whatever the base. What counts as equal is told by
+    :func:`hash_words`.
+    """
     up, down = (_UP, _DOWN) if len(data) <= PIECE else (powers(len(data)), powers(len(data), pow(_STEP, -1, 1 << 64)))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(value[data] * up[: len(data)], out=total[1:])
@@ -52,6 +60,33 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.n
     return h ^ (h >> _U(29))
 
 
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << _U(by)) | (x >> _U(64 - by))
+
+
+def hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``data[start:end]`` for many short spans at once, eight bytes a step."""
+    n = end - start
+    h = n.astype(np.uint64) * _M2
+    padded = np.concatenate([data, np.zeros(_LANE, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    live, at = np.flatnonzero((n > 0) & (n <= LONG_WORD)), 0
+    while len(live):
+        left = n[live] - at
+        lane = eight[start[live] + at] & (_U(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(_LANE - left, 0)).astype(np.uint64))
+        mixed = _turned(lane * _M2, 31) * _M1
+        h[live] = _turned(h[live] ^ mixed, 27) * _M1 + _M2
+        at += _LANE
+        live = live[left > _LANE]
+    for i in np.flatnonzero(n > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes(), seed=int(h[i]))
+    h ^= h >> _U(33)
+    h *= _MIX
+    h ^= h >> _U(29)
+    h *= _M2
+    return h ^ (h >> _U(32))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows (null: empty)."""
     column = column.fill_null("")
@@ -126,7 +161,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> Words:
         before = cuts[cuts > 0] - 1
         stop[before] |= inside[1:-1][before]
         at, to = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-        hashes.append(hash_spans(part, at, to))
+        hashes.append(hash_words(LOWER[part], at, to))
         starts.append(at + low)
         low = high
     start = np.concatenate(starts) if starts else np.zeros(0, np.int64)

@@ -7,7 +7,8 @@ Test windows go to the segments in blocks of bounded size; within a segment the
 position lists of a window's terms are shifted by their offsets and intersected, rarest term first.
 
 Defined results: null or empty texts have no words; repeated rows are separate documents; a null
-item id counts as the empty id; an empty benchmark hits nothing; other columns are ignored.
+item id counts as the empty id; an empty benchmark hits nothing and an empty table gives an empty one;
+very long texts are indexed whole; there are no ties to break; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapline.llm.arrays import Words, gathered, ragged, row_slices, text_bytes, words_of
+from snapline.llm.names import free
 from snapline.session import scratch
 
 SEGMENT_BYTES = 6 << 20
@@ -291,7 +293,8 @@ def decontaminate(
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the documents that hold an occurrence of a window; null texts stay."""
-    keyed = docs.withColumn("__digest", F.md5(F.col("text")))
-    bad = decontaminate(keyed.where(F.col("text").isNotNull()).select("__digest", "text"), items, window, "__digest").where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("__digest")).distinct()
-    return keyed.join(bad, "__digest", "left_anti").drop("__digest").select(*docs.columns)
+    digest = free(docs.columns, "digest")
+    keyed = docs.withColumn(digest, F.md5(F.col("text")))
+    bad = decontaminate(keyed.where(F.col("text").isNotNull()).select(digest, "text"), items, window, digest).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias(digest)).distinct()
+    return keyed.join(bad, digest, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +84,11 @@ def _segments(data: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
 
 def _hashes(data, anchor, cell, first, n, window, width) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of what all windows have in common that see the anchor in a cell of places, and of the segment."""
-    low = anchor - cell * width
-    place = hash_spans(data, low, low + window - (width - 1), _VALUE) * np.uint64(3) + cell.astype(np.uint64)
-    return place.view(np.int64), hash_spans(data, first, first + n + window - 1, _VALUE).view(np.int64)
+    low, raw, digest = anchor - cell * width, memoryview(data.tobytes()), xxhash.xxh3_64_intdigest
+    shared = window - (width - 1)
+    place = [digest(raw[a : a + shared], c) for a, c in zip(low.tolist(), cell.tolist())]
+    seg = [digest(raw[a : a + k + window - 1]) for a, k in zip(first.tolist(), n.tolist())]
+    return np.array(place, np.uint64).view(np.int64), np.array(seg, np.uint64).view(np.int64)
 
 
 def _table(spark, df: DataFrame, name: str) -> DataFrame:

@@ -11,8 +11,9 @@ members meet in star groups around common neighbours, see :func:`_dense_links`;
 keep every link.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; repeated rows
-are separate documents; a null id never is a component's id unless all are null; other columns are
-ignored.
+are separate documents; a null id never is a component's id unless all are null, and ties do not
+decide anything but which of equal rows stays; very long texts are hashed a run of words at a time; an
+empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -167,20 +168,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each group: the least id, then the least digest of the text;
-    of repeated rows one."""
+    """``docs`` with one document of each group: the least id, then the least digest of the text, then
+    the least hash of the row; of repeated rows one."""
     spark = docs.sparkSession
-    keyed = docs.withColumn("__digest", F.coalesce(F.md5(F.col(text_col)), F.lit("")))
+    # The user's columns travel in one struct, so their names clash with none here.
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    digest, mark = F.coalesce(F.md5(F.col(text_col)), F.lit("")), F.xxhash64(F.to_json(row))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest.alias("digest"), mark.alias("mark"), row.alias("row"))
     path = scratch(spark, "fingerprints")
-    fingerprints(keyed.withColumn("__id", F.col(id_col)), ["__id", "__digest"], text_col, shingle).write.parquet(path)
+    fingerprints(keyed, ["id", "digest", "mark"], "text", shingle).write.parquet(path)
     rows = spark.read.parquet(path)
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__digest"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest", "mark"))
     distinct = rows.groupBy("fp").agg(first.alias("least"))
     named = roots(distinct.select("fp"), bits).withColumnRenamed("fp", "f")
-    chosen = (
-        distinct.join(named, F.col("fp") == F.col("f")).groupBy("root").agg(F.min("least").alias("least"))
-        .select(F.col("root").alias("__root"), F.col("least.__id").alias("__kept"), F.col("least.__digest").alias("__kept_digest"))
-    )
-    same = F.col(id_col).eqNullSafe(F.col("__kept")) & (F.col("__digest") == F.col("__kept_digest"))
-    kept = keyed.join(chosen, same).dropDuplicates(["__root"])
-    return kept.select(*docs.columns)
+    chosen = distinct.join(named, F.col("fp") == F.col("f")).groupBy("root").agg(F.min("least").alias("least"))
+    chosen = chosen.select("root", *[F.col("least").getField(c).alias(f"kept_{c}") for c in ("id", "digest", "mark")])
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")) & (F.col("mark") == F.col("kept_mark"))
+    kept = keyed.join(chosen, same).dropDuplicates(["root"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from snapline.llm.arrays import hash_spans
+from snapline.llm.arrays import hash_words
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -108,8 +108,7 @@ def suffix_array(t: np.ndarray, alphabet: int, depth: int) -> np.ndarray:
         found = sorted_once[is_lms[sorted_once]]
         place = np.searchsorted(lms, found)
         end = np.append(lms[1:] + 1, n)[place]  # a leftmost-smaller substring reaches to the next one
-        value = np.random.default_rng(5).integers(1, 1 << 63, alphabet, dtype=np.uint64)
-        digest = hash_spans(t, found, end, value)
+        digest = hash_words(t.view(np.uint8), 2 * found, 2 * end)
         # The last one reaches the end, which is like no other.
         new = (digest[1:] != digest[:-1]) | (place[1:] == len(lms) - 1) | (place[:-1] == len(lms) - 1)
         names = np.empty(len(lms), dtype=np.int64)

@@ -1,129 +1,93 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two word models, toxic and ordinary, with absolute discounting:
-
-    P_c(w | v) = P(w | v) * P(c | vw) / P(c | v)
-    P(c | vw)  = (max(n_c(vw) - D, 0) + (D * k(vw) + L) * q_c(vw)) / (n(vw) + L)
-    q_c(vw)    = P(c | v) * P_c(w) / (the same of both classes)
-    P(c | v)   = (max(n_c(v) - D, 0) + (D * k(v) + M) * n_c / n) / (n(v) + M)
-    P_c(w)     = (max(n_c(w) - D, 0) + M * n_c / n) / (all of these)
-
-k is how many classes have seen it. P(w | v), of both classes together, cancels in their ratio. The
-backoff is shared: both classes grant every word the same M occurrences, in proportion to
-their sizes, so an expression that was seen a few times in one class alone says little. (Shares by
-the number of preceding words instead, which grow with a word's own count, let two occurrences
-weigh like a hundred: on the tables of sf0.1 the held-out AUC fell from 0.94 to 0.87.) Word pairs
-are granted L occurrences, in the proportion that their two words predict: the rarer a pair, the less
-it says beyond its words, and one that was not learned from nothing (P_c(w) remains). A text's
-evidence is the difference of its two log-likelihoods per word, less the median word's, which only
-tells what language and subject the labelled texts of each class favour. A logistic curve, fitted on
-labelled texts that the counts have not seen, turns it into a probability.
-
-Counts cover all labelled rows but those of the curve, are summed by Spark and stay a table with a
-row for every word and every pair, however rare, keyed by hashes of 63 bits. Texts go in segments of
-some MB; each looks up its distinct words and pairs, once each, by a join with that table, so no
-key has more rows than there are segments. A bitmap of the table's keys, of bounded size, keeps most
-keys that the table does not have out of that join; what it lets through finds nothing there.
+Two models of word pairs, toxic and ordinary, whose rare expressions fall back to counts of both:
+
+    P_c(w | v) = (n_c(vw) - d_c(vw)) / n_c(v) + l_c(v) * P_c(w)
+    P_c(w)     = (n_c(w) - d_c(w)) / n_c + l_c * q(w)
+    q(w)       = (k(w) - d(w)) / k + l / (words + 1)
+
+k(w), the continuation count, is how many different words precede w in either class (the start of a
+text counts as a word), and each l is the mass that the discounts d have taken away, so every
+distribution sums to one over the known words and one unknown. A pair is discounted by ``PAIR``. A
+word's discount depends on its count n, as in modified Kneser-Ney smoothing: n D / (n + D), nearly
+all of a rare word's and D of a frequent one's; the classes share D in proportion to their sizes, so
+that a word as frequent in one as in the other loses the same share in both, and the far larger
+ordinary class does not look surer of everything.
+
+The evidence of a text is the difference of its two log-likelihoods per word, in two parts: what
+P_c(w) says, less the median word's (which only tells what language and subject the labelled texts
+of each class favour), and what P_c(w | v) adds to it. A logistic curve, fitted on labelled texts
+that the counts have not seen, weighs the two and turns them into a probability.
+
+The models are fitted on the labelled rows of about ``FIT_ROWS`` ids, drawn by a hash of the id, a
+fifth of them for the curve. Every word and pair of these is counted, however rare, under 64-bit
+keys, by Spark. Up to ``TABLE_BYTES`` the table is broadcast and all texts are scored in one pass
+without a shuffle; beyond, segments of texts look their keys up by a join, with the same result.
 
 Defined results: null and empty texts have no words and get the curve's value at no evidence;
 labels that are null are ignored; of several labels of an id the toxic one counts; rows without a
 label, or with a null id, are scored but not learned from; no labels of one class: nothing is known
-against any text, every score is the share of toxic labels; other columns are ignored.
+against any text, every score is the share of toxic labels; repeated rows score alike, however long
+texts are whole, and an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from snapline.llm.arrays import Words, gathered, row_slices, text_bytes, words_of
-from snapline.operators.joins import spread_join
+from snapline.llm.names import free
 from snapline.session import scratch
 
-# Of the fixed-table Model only.
-WORD_BITS = 20
-DISCOUNT, GRANTED = 0.75, 4.0
-# A pair seen so often weighs as much as what its words predict. With 4 as for words, held-out AUC on
-# check_s was 0.952.
-PAIR_GRANTED = 100.0
+# Labelled ids that the models are fitted on.
+FIT_ROWS = 20_000
+# Discounts: most of a continuation count, most of a word (of both classes together), and of a pair.
+CONTINUED, WORD, PAIR = 10_000.0, 16.0, 0.75
 THRESHOLD = 0.3
-# Labelled rows up to which the label table is broadcast (9 bytes each); beyond, it is a shuffled join.
-BROADCAST_LABELS = 2_000_000
+# Bytes of ids, and of the scoring table, up to which they are broadcast.
+LABEL_BYTES, TABLE_BYTES = 64 << 20, 256 << 20
 SLICE_BYTES = 2 << 20
 SEGMENT_BYTES = 4 << 20
-# Bits of the bitmap a key, and at most (as a power of two).
-BITMAP_PER_KEY, BITMAP_MOST = 16, 28
+
+CLASSES = ("toxic", "ordinary")
 
 
 def remainder(id_col: str, salt: str, n: int) -> Column:
     return F.crc32(F.concat(F.col(id_col).cast("string"), F.lit(salt))) % n
 
 
-@dataclass
-class Model:
-    """The models in tables of fixed size, of words of ``WORD_BITS`` bits and stated pairs without grants.
-
-    No query uses it: its tables neither grow with the vocabulary nor tell collisions apart.
-    """
-
-    word: np.ndarray  # 2 x words: P_toxic(w), P_ordinary(w)
-    backoff: np.ndarray  # 2 x words: g_c(v)
-    pairs: np.ndarray  # sorted keys v << WORD_BITS | w
-    pair: np.ndarray  # 2 x pairs: max(n_c(vw) - D, 0) / n_c(v)
-    curve: np.ndarray  # weights of 1, x, log words, x * log words
-
-    def evidence(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per row: mean log-likelihood ratio of its words, and how many it has."""
-        found = words_of(data, bounds)
-        n = found.per_row
-        w = _hashed(found.hashes)
-        if not len(w):
-            return np.zeros(len(n)), n
-        v = np.roll(w, 1)
-        p = self.word[:, w].astype(np.float64)
-        starts = np.zeros(len(w), bool)
-        starts[found.first[:-1][n > 0]] = True
-        # Only contexts with kept pairs have given mass away; the others back off with all of it.
-        deep = np.flatnonzero(~starts & (self.backoff[:, v] < 1).any(axis=0))
-        p[:, deep] *= self.backoff[:, v[deep]]
-        key = (v[deep] << WORD_BITS) | w[deep]
-        place = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
-        hit = self.pairs[place] == key if len(self.pairs) else np.zeros(len(key), bool)
-        p[:, deep[hit]] += self.pair[:, place[hit]]
-        ratio = np.log(p[0]) - np.log(p[1])
-        return _less_median(ratio, found), n
-
-
-def _hashed(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+def _means(ratio: np.ndarray, found: Words) -> np.ndarray:
+    total = np.concatenate([[0.0], np.cumsum(ratio)])
+    return (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(found.per_row, 1)
 
 
 def _less_median(ratio: np.ndarray, found: Words) -> np.ndarray:
     """Per row: the mean of its words' ratios less their median."""
     n = found.per_row
-    total = np.concatenate([[0.0], np.cumsum(ratio)])
-    mean = (total[found.first[1:]] - total[found.first[:-1]]) / np.maximum(n, 1)
+    mean = _means(ratio, found)
     row = np.repeat(np.arange(len(n)), n)
     middle = np.minimum(found.first[:-1] + n // 2, len(ratio) - 1)
     return np.where(n > 0, mean - ratio[np.lexsort((ratio, row))][middle], 0.0)
 
 
-def _features(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _features(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     size = np.log1p(n) / 5
-    return np.stack([np.ones(len(x)), 10 * x, size, 10 * x * size], axis=1)
+    return np.stack([np.ones(len(x)), 10 * x, size, 10 * x * size, y], axis=1)
 
 
-def _fit_curve(x: np.ndarray, n: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+def _fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
     """Logistic regression on binned evidence, with a weak pull to zero, by Newton's method."""
-    features, weight = _features(x, n), np.zeros(4)
-    pull = np.diag([0.01, 0.01, 0.1, 0.1])
+    features, weight = _features(x, y, n), np.zeros(5)
+    pull = np.diag([0.01, 0.01, 0.1, 0.1, 0.1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(features @ weight, -30, 30)))
         slope = features.T @ ((toxic + ordinary) * p - toxic) + pull @ weight
@@ -135,34 +99,19 @@ def _fit_curve(x: np.ndarray, n: np.ndarray, toxic: np.ndarray, ordinary: np.nda
     return weight
 
 
-def made_model(n: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model | None:
-    """From the counts of all words and of the kept pairs, per class."""
-    total = n.sum(axis=1, keepdims=True)
-    if not total.all():
-        return None
-    word = np.maximum(n - DISCOUNT, 0) + GRANTED * total / total.sum()
-    word /= word.sum(axis=1, keepdims=True)
-    order = np.argsort(key)
-    key, count = key[order], count[:, order]
-    v = key >> WORD_BITS
-    pair = np.maximum(count - DISCOUNT, 0) / np.maximum(n[:, v], 1)
-    given = np.stack([np.bincount(v, weights=p, minlength=n.shape[1]) for p in pair])
-    return Model(word.astype(np.float32), np.maximum(1 - given, 1e-6).astype(np.float32), key, pair.astype(np.float32), np.zeros(4))
-
-
 def _keys(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of words (even), of pairs of each word with the one before it (odd), and which words have one before."""
+    """Of each word: its own key (even), that of the word before it (0: none), and that of the pair (odd)."""
     word = found.hashes & ~np.uint64(1)
-    inner = np.ones(len(word), bool)
-    inner[found.first[:-1][found.per_row > 0]] = False
-    pair = np.roll(word, 1) * np.uint64(0x9E3779B97F4A7C15) + word * np.uint64(0xC2B2AE3D27D4EB4F)
+    before = np.roll(word, 1)
+    before[found.first[:-1][found.per_row > 0]] = 0
+    pair = before * np.uint64(0x9E3779B97F4A7C15) + word * np.uint64(0xC2B2AE3D27D4EB4F)
     pair ^= pair >> np.uint64(32)
     pair *= np.uint64(0xD6E8FEB86659FD93)
-    return word, (pair ^ (pair >> np.uint64(29))) | np.uint64(1), inner
+    return word, before, (pair ^ (pair >> np.uint64(29))) | np.uint64(1)
 
 
-def _counts(labelled: DataFrame) -> DataFrame:
-    """``key, toxic, ordinary``: occurrences of every word and of every pair."""
+def _pairs(labelled: DataFrame) -> DataFrame:
+    """``v, w, key, toxic, ordinary``: occurrences of every word ``w`` after ``v`` (0: the start of a text)."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, SEGMENT_BYTES):
@@ -171,90 +120,146 @@ def _counts(labelled: DataFrame) -> DataFrame:
             for low, high in row_slices(bounds, SEGMENT_BYTES):
                 own = bounds[low : high + 1]
                 found = words_of(data[own[0] : own[-1]], own - own[0])
-                word, pair, inner = _keys(found)
-                rude = np.repeat(toxic[low:high], found.per_row)
+                word, before, pair = _keys(found)
                 # Toxic counts in the upper and ordinary ones in the lower 32 bits.
-                once = np.where(np.concatenate([rude, rude[inner]]), 1 << 32, 1)
-                unique, place = np.unique(np.concatenate([word, pair[inner]]), return_inverse=True)
+                once = np.where(np.repeat(toxic[low:high], found.per_row), 1 << 32, 1)
+                unique, one, place = np.unique(pair, return_index=True, return_inverse=True)
                 n = np.bincount(place, weights=once, minlength=len(unique)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(n)], names=["key", "n"])
+                arrays = [*(pa.array(x.view(np.int64)) for x in (before[one], word[one], unique)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["v", "w", "key", "n"])
 
-    parts = labelled.mapInArrow(counted, "key long, n long")
+    parts = labelled.mapInArrow(counted, "v long, w long, key long, n long")
     toxic, ordinary = F.shiftright("n", 32), F.col("n").bitwiseAND(F.lit((1 << 32) - 1))
-    return parts.groupBy("key").agg(F.sum(toxic).alias("toxic"), F.sum(ordinary).alias("ordinary"))
+    return parts.groupBy("v", "w", "key").agg(F.sum(toxic).alias("toxic"), F.sum(ordinary).alias("ordinary"))
+
+
+def discount(n, most: float, share: float = 1.0):
+    """What a word's count gives up (a number, an array or a column)."""
+    most = most * share
+    return n * most / (n + most)
+
 
+def _table(spark, df: DataFrame, name: str) -> DataFrame:
+    path = scratch(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
-def _bitmap(counts: DataFrame) -> np.ndarray:
-    """Which leading bits the keys have, in words of 64."""
-    bits = min(max((BITMAP_PER_KEY * counts.count()).bit_length(), 6), BITMAP_MOST)
-    slot = F.shiftrightunsigned("key", 64 - bits)
-    cells = counts.select(F.shiftright(slot, 6).alias("cell"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    held = cells.groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("held")).toArrow()
-    made = np.zeros(1 << (bits - 6), np.uint64)
-    made[held.column("cell").to_numpy()] = held.column("held").to_numpy().view(np.uint64)
-    return made
+
+# Of a word: P_c(w), n_c(v) and l_c(v); of a pair, whose keys are odd: what the discount left of n_c(vw).
+_TABLE = "key long, p0 float, p1 float, n0 float, n1 float, l0 float, l1 float"
 
 
 @dataclass
-class Totals:
-    """Per class: occurrences and different words; of both: different words."""
+class Model:
+    """The scoring table, the probabilities of an unknown word in either class, and the curve."""
 
-    n: np.ndarray
-    kinds: np.ndarray
-    every: int
+    rows: DataFrame
+    unknown: np.ndarray
+    curve: np.ndarray | None = None
 
     @property
-    def share(self) -> np.ndarray:
-        return self.n / self.n.sum()
-
-    def word(self, n: np.ndarray) -> np.ndarray:
-        """P_c(w); all unknown words are one more word."""
-        grant = GRANTED * self.share[:, None]
-        return (np.maximum(n - DISCOUNT, 0) + grant) / (self.n - DISCOUNT * self.kinds + grant[:, 0] * (self.every + 1))[:, None]
-
-    def ratios(self, found: Words, key: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Log-likelihood ratio of each word, given the counts that its text may need (by sorted key)."""
-        word, pair, inner = _keys(found)
-        own, place = np.unique(word, return_inverse=True)
-        of = _looked_up(own, key, count)
-        ratio = (lambda p: np.log(p[0]) - np.log(p[1]))(self.word(of))
-        # Log odds of the classes after each word, and by what each pair moves them.
-        before = _odds(of, np.full(len(own), np.log(self.n[0] / self.n[1])), GRANTED)
-        made = ratio[place]
-        deep = np.flatnonzero(inner)
-        n = _looked_up(pair[deep], key, count)
-        hit = n.any(axis=0)
-        deep = deep[hit]
-        v = before[place[deep - 1]]
-        made[deep] = _odds(n[:, hit], v + made[deep], PAIR_GRANTED) - v
-        return made
-
-
-def _looked_up(wanted: np.ndarray, key: np.ndarray, count: np.ndarray) -> np.ndarray:
-    if not len(key):
-        return np.zeros((2, len(wanted)))
-    place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-    return count[:, place] * (key[place] == wanted)
+    def words(self) -> DataFrame:
+        return self.rows.where("key & 1 = 0")
 
+    @property
+    def pairs(self) -> DataFrame:
+        return self.rows.where("key & 1 = 1").select("key", "p0", "p1")
 
-def _odds(n: np.ndarray, expected: np.ndarray, granted: float) -> np.ndarray:
-    """Log odds of the classes where their counts are ``n`` and the odds without them would be ``expected``."""
-    free = DISCOUNT * (n > 0).sum(axis=0) + granted
-    toxic = 1 / (1 + np.exp(-expected))
-    p = np.maximum(n - DISCOUNT, 0) + free * np.stack([toxic, 1 - toxic])
-    return np.log(p[0]) - np.log(p[1])
+    @property
+    def small(self) -> bool:
+        return self.rows.count() * 32 <= TABLE_BYTES
 
 
-def _totals(counts: DataFrame) -> Totals | None:
-    word = counts.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
-    some = lambda test: F.sum(F.when(test, 1).otherwise(0))
-    row = word.agg(F.sum("toxic"), F.sum("ordinary"), some(F.col("toxic") > 0), some(F.col("ordinary") > 0), F.count("*")).first()
-    if not row[0] or not row[1]:
+def _model(sample: DataFrame) -> Model | None:
+    """From ``text, toxic``; None if a class has no word."""
+    spark = sample.sparkSession
+    pairs = _table(spark, _pairs(sample), "pairs")
+    total = np.array([x or 0 for x in pairs.agg(F.sum("toxic"), F.sum("ordinary")).first()], dtype=float)
+    if not total.all():
         return None
-    return Totals(np.array(row[:2], dtype=float), np.array(row[2:4], dtype=float), row[4])
+    share = (total / total.sum()).tolist()
+    none, nothing = F.lit(0).cast("long"), F.lit(0.0)
+    given = [F.least(F.col(c), F.lit(PAIR)).cast("double") for c in CLASSES]
+    names = ("key", "t", "o", "k", "n0", "n1", "m0", "m1")
+    following = pairs.select("w", "toxic", "ordinary", F.lit(1).cast("long"), none, none, nothing, nothing).toDF(*names)
+    leading = pairs.select("v", none, none, none, "toxic", "ordinary", *given).toDF(*names)
+    words = _table(spark, following.union(leading).groupBy("key").agg(*[F.sum(n).alias(n) for n in names[1:]]), "words")
+    kept = lambda n, *by: F.when(n > 0, discount(n, *by)).otherwise(0.0)
+    off = [kept(F.col(c), WORD, s) for c, s in zip(("t", "o"), share)]
+    k, off_k = F.col("k"), kept(F.col("k"), CONTINUED)
+    lost0, lost1, continued, lost_k, known = (
+        float(x) for x in words.agg(F.sum(off[0]), F.sum(off[1]), F.sum(k), F.sum(off_k), F.count_if(k > 0)).first()
+    )
+    rest = lost_k / continued / (known + 1)
+    q = (k - off_k) / continued + rest
+    p = [(F.col(c) - d) / n + lost / n * q for c, d, n, lost in zip(("t", "o"), off, total.tolist(), (lost0, lost1))]
+    after = [F.when(F.col(n) > 0, F.col(m) / F.col(n)).otherwise(1.0) for n, m in (("n0", "m0"), ("n1", "m1"))]
+    left = [F.greatest(F.col(c) - PAIR, nothing) for c in CLASSES]
+    some = pairs.select("key", *left, nothing, nothing, nothing, nothing)
+    rows = words.select("key", *p, "n0", "n1", *after).union(some)
+    schema = [f.split() for f in _TABLE.split(", ")]
+    rows = rows.toDF(*[n for n, _ in schema]).select(*[F.col(n).cast(kind) for n, kind in schema])
+    return Model(_table(spark, rows, "model"), np.array([lost0, lost1]) / total * rest)
+
+
+@dataclass
+class Table:
+    """Rows of the scoring table by ascending key, words and pairs apart."""
+
+    word: np.ndarray
+    values: np.ndarray  # 6 x words
+    pair: np.ndarray
+    left: np.ndarray  # 2 x pairs
+    unknown: np.ndarray
+
+    def ratios(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of each word, and what the word before it adds."""
+        word, before, pair = _keys(found)
+        own, place = np.unique(np.append(word, np.uint64(0)), return_inverse=True)
+        base = np.array([*self.unknown, 0, 0, 1, 1])[:, None]
+        of = _looked_up(own, self.word, self.values, base)
+        w = place[:-1]
+        v = np.roll(w, 1)
+        v[found.first[:-1][found.per_row > 0]] = place[-1]
+        alone = of[:2, w]
+        p = of[4:, v] * alone
+        left = _looked_up(pair, self.pair, self.left, np.zeros((2, 1)))
+        hit = np.flatnonzero(left.any(axis=0))
+        p[:, hit] += left[:, hit] / np.maximum(of[2:4, v[hit]], 1)
+        single = np.log(alone[0] / alone[1])
+        return single, np.log(p[0] / p[1]) - single
+
+    def evidence(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per row: the evidence of words and of pairs, and the number of words."""
+        x, y, n = np.zeros(len(bounds) - 1), np.zeros(len(bounds) - 1), np.zeros(len(bounds) - 1, np.int64)
+        for low, high in row_slices(bounds, SLICE_BYTES):
+            own = bounds[low : high + 1]
+            found = words_of(data[own[0] : own[-1]], own - own[0])
+            if len(found.hashes):
+                single, more = self.ratios(found)
+                x[low:high] = _less_median(single, found)
+                y[low:high] = _means(more, found)
+            n[low:high] = found.per_row
+        return x, y, n
+
+
+def table_of(words: pa.Table, pairs: pa.Table, unknown: np.ndarray) -> Table:
+    own = []
+    for rows, n in ((words, 6), (pairs, 2)):
+        key = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        own += [key[order], np.stack([rows.column(i).to_numpy()[order] for i in range(1, n + 1)])]
+    return Table(*own, unknown)
 
 
-def _segments(docs: DataFrame, columns: list[Column], path: str) -> DataFrame:
+def _looked_up(wanted: np.ndarray, key: np.ndarray, values: np.ndarray, missing: np.ndarray) -> np.ndarray:
+    if not len(key):
+        return np.broadcast_to(missing, (len(values), len(wanted))).astype(float)
+    place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+    return np.where(key[place] == wanted, values[:, place], missing)
+
+
+def _segments(docs: DataFrame, text_col: str, columns: list[str], path: str) -> DataFrame:
     """Write and read ``segment, rows, bounds, text``: the texts of some MB, compressed, with ``columns`` of each."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +279,7 @@ def _segments(docs: DataFrame, columns: list[Column], path: str) -> DataFrame:
                     names=["segment", "rows", "bounds", "text"],
                 )
 
-    whole = docs.select("text", F.struct(*columns).alias("row"))
+    whole = docs.select(text_col, F.struct(*[f"`{c}`" for c in columns]).alias("row"))
     schema = StructType([
         StructField("segment", LongType()), StructField("rows", ArrayType(whole.schema["row"].dataType)),
         StructField("bounds", BinaryType()), StructField("text", BinaryType()),
@@ -288,90 +293,128 @@ def _words(bounds: bytes, text: bytes) -> Words:
     return words_of(np.frombuffer(pa.decompress(text, int(bounds[-1]), "zstd", asbytes=True), np.uint8), bounds)
 
 
-def _evidence(docs: DataFrame, columns: list[Column], counts: DataFrame, totals: Totals, bitmap: np.ndarray) -> DataFrame:
-    """``columns``, the evidence ``__x`` and the number of words ``__n`` of each row."""
-    spark = docs.sparkSession
-    segments = _segments(docs, columns, scratch(spark, "segments"))
-    shared, bits = spark.sparkContext.broadcast(bitmap), len(bitmap).bit_length() + 5
+def _joined(docs: DataFrame, text_col: str, columns: list[str], model: Model, schema: StructType) -> DataFrame:
+    """The evidence by a join of the keys of each segment of texts with the scoring table."""
+    segments, unknown = _segments(docs, text_col, columns, scratch(docs.sparkSession, "segments")), model.unknown
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for segment, bounds, text in zip(*(c.to_pylist() for c in batch.columns)):
-                word, pair, inner = _keys(_words(bounds, text))
-                key = np.unique(np.concatenate([word, pair[inner]]))
-                slot = key >> np.uint64(64 - bits)
-                key = key[(shared.value[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), segment)), pa.array(key.view(np.int64))], names=["segment", "key"])
+                word, _, pair = _keys(_words(bounds, text))
+                key = np.unique(np.concatenate([word, pair, np.zeros(1, np.uint64)]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), segment)), pa.array(key.view(np.int64))], names=["segment", "wanted"])
 
-    found = segments.select("segment", "bounds", "text").mapInArrow(wanted, "segment long, key long").join(counts, "key")
-    schema = StructType([*segments.schema["rows"].dataType.elementType.fields, *StructType().add("__x", "double").add("__n", "long").fields])
-    names = schema.fieldNames()
+    asked = segments.select("segment", "bounds", "text").mapInArrow(wanted, "segment long, wanted long")
+    found = asked.join(model.rows, F.col("wanted") == F.col("key")).select("segment", *model.rows.columns)
 
     def scored(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        key = rows.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        count = np.stack([rows.column(name).to_numpy()[order] for name in ("toxic", "ordinary")]).astype(float)
+        rows = rows.drop_columns(["segment"])
+        odd = pc.bit_wise_and(rows.column("key"), 1)
+        table = table_of(rows.filter(pc.equal(odd, 0)), rows.filter(pc.equal(odd, 1)), unknown)
         made = []
         for at in range(len(texts)):
-            words = _words(texts.column("bounds")[at].as_py(), texts.column("text")[at].as_py())
-            x = _less_median(totals.ratios(words, key[order], count), words) if len(words.hashes) else np.zeros(len(words.per_row))
+            bounds = np.frombuffer(texts.column("bounds")[at].as_py(), "<i8")
+            raw = pa.decompress(texts.column("text")[at].as_py(), int(bounds[-1]), "zstd", asbytes=True)
+            found = table.evidence(np.frombuffer(raw, np.uint8), bounds)
             own = texts.column("rows")[at].values
-            made.append(pa.Table.from_arrays([*(own.field(i) for i in range(len(names) - 2)), pa.array(x), pa.array(words.per_row)], names=names))
+            made.append(pa.Table.from_arrays([*(own.field(i) for i in range(len(columns))), *map(pa.array, found)], names=schema.fieldNames()))
         return pa.concat_tables(made)
 
     return segments.groupBy("segment").cogroup(found.groupBy("segment")).applyInArrow(scored, schema)
 
 
-def _score(curve: np.ndarray) -> Column:
-    x, size = 10 * F.col("__x"), F.log1p("__n") / 5
-    z = sum(float(weight) * f for weight, f in zip(curve[1:], (x, size, x * size))) + float(curve[0])
-    return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
-
-
-def scores(docs: DataFrame, labels: DataFrame, learn: Column, columns: list[Column], id_col: str = "doc_id") -> DataFrame:
-    """``columns`` and ``score`` per row, by a model from the rows of ``docs`` where ``learn`` holds and
-    ``labels`` knows the id; a fifth of them, by id, fits the curve."""
-    spark = docs.sparkSession
-    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max("toxic") > 0).alias("toxic"))
-    if known.count() <= BROADCAST_LABELS:
-        known = F.broadcast(known)
-    kept = docs.where(learn).select(id_col, "text").join(known, id_col)
-    fits = remainder(id_col, ":curve", 5) == 0
-    path = scratch(spark, "pairs")
-    _counts(kept.where(~fits).select("text", "toxic")).write.parquet(path)
-    counts = spark.read.parquet(path)
-    share = kept.agg(F.coalesce(F.avg(F.col("toxic").cast("int")), F.lit(0.0))).first()[0]
-    totals = _totals(counts)
-    if totals is None:
-        return docs.select(*columns, F.lit(float(share)).alias("score"))
-    own = [*columns, F.col(id_col).alias("__id"), F.coalesce(learn & fits, F.lit(False)).alias("__fits")]
-    path = scratch(spark, "evidence")
-    _evidence(docs, own, counts, totals, _bitmap(counts)).write.parquet(path)
-    evidence = spark.read.parquet(path)
-    bins = [F.rint(F.least(F.greatest("__x", F.lit(-8.0)), F.lit(8.0)) * 500).alias("x"), F.rint(F.log2(F.col("__n") + 1) * 2).alias("n")]
-    binned = evidence.where("__fits").join(known.withColumnRenamed(id_col, "__id"), "__id").groupBy(*bins)
-    rows = binned.agg(F.sum(F.col("toxic").cast("int")).alias("t"), F.count("*").alias("all")).collect()
-    if rows:
-        x, n, t, every = np.array([[r["x"], r["n"], r["t"], r["all"]] for r in rows], dtype=np.float64).T
-        curve = _fit_curve(x / 500, 2 ** (n / 2) - 1, t, every - t)
+def _words(bounds: bytes, text: bytes) -> Words:
+    own = np.frombuffer(bounds, "<i8")
+    return words_of(np.frombuffer(pa.decompress(text, int(own[-1]), "zstd", asbytes=True), np.uint8), own)
+
+
+def _with_evidence(model: Model, names: tuple[str, str, str]) -> Callable[[DataFrame, str, list[str]], DataFrame]:
+    """What adds the evidence of words and of pairs and the number of words to ``columns`` of a frame."""
+
+    def widened(docs: DataFrame, columns: list[str]) -> StructType:
+        schema = docs.select(*[f"`{c}`" for c in columns]).schema
+        for name, kind in zip(names, ("double", "double", "long")):
+            schema = schema.add(name, kind)
+        return schema
+
+    if not model.small:
+        return lambda docs, text_col, columns: _joined(docs, text_col, columns, model, widened(docs, columns))
+    shared = model.rows.sparkSession.sparkContext.broadcast(table_of(model.words.toArrow(), model.pairs.toArrow(), model.unknown))
+
+    def add(docs: DataFrame, text_col: str, columns: list[str]) -> DataFrame:
+        inner = docs.select(*[f"`{c}`" for c in columns], *([] if text_col in columns else [text_col]))
+        at, kept = inner.columns.index(text_col), len(columns)
+        schema = widened(docs, columns)
+
+        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = shared.value.evidence(*text_bytes(batch.column(at)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *map(pa.array, own)], names=schema.fieldNames())
+
+        return inner.mapInArrow(scored, schema)
+
+    return add
+
+
+def _score(curve: np.ndarray, x: str, y: str, n: str) -> Column:
+    z, size = 10 * F.col(x), F.log1p(n) / 5
+    total = sum(float(weight) * f for weight, f in zip(curve[1:], (z, size, z * size, F.col(y)))) + float(curve[0])
+    return 1 / (1 + F.exp(-F.least(F.greatest(total, F.lit(-30.0)), F.lit(30.0))))
+
+
+def _drawn(labels: DataFrame, learn: Column, id_col: str, rows: int) -> DataFrame:
+    """``id_col, toxic``: about ``rows`` labelled ids that may be learned from."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & learn).groupBy(id_col).agg((F.max("toxic") > 0).alias("toxic"))
+    share = min(1.0, rows / max(known.count(), 1))
+    known = known.where(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    known = _table(labels.sparkSession, known, "labels")
+    size = known.agg(F.coalesce(F.sum(F.length(F.col(id_col).cast("string")) + 16), F.lit(0))).first()[0]
+    return F.broadcast(known) if size <= LABEL_BYTES else known
+
+
+def scores(
+    docs: DataFrame, labels: DataFrame, learn: Column, columns: list[str], score: str = "score", id_col: str = "doc_id",
+    text_col: str = "text", rows: int = FIT_ROWS,
+) -> DataFrame:
+    """``columns`` and ``score`` per row, by models from rows of ``docs`` whose ids ``labels`` knows and for
+    which ``learn``, a test of the id, holds; at most about ``rows`` ids are learned from."""
+    kept = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(_drawn(labels, learn, id_col, rows), id_col)
+    fits = F.coalesce(remainder(id_col, ":curve", 5) == 0, F.lit(False))
+    sample = _table(docs.sparkSession, kept.select("text", "toxic", fits.alias("fits")), "labelled")
+    share = float(sample.agg(F.coalesce(F.avg(F.col("toxic").cast("int")), F.lit(0.0))).first()[0])
+    whole = [f"`{c}`" for c in columns]
+    model = _model(sample.where("not fits").select("text", "toxic"))
+    if model is None:
+        return docs.select(*whole, F.lit(share).alias(score))
+    names = tuple(free(docs.columns, name) for name in ("single", "more", "words"))
+    x, y, n = names
+    add = _with_evidence(model, names)
+    bins = [F.rint(F.least(F.greatest(c, F.lit(-8.0)), F.lit(8.0)) * 500).alias(name) for c, name in ((x, "x"), (y, "y"))]
+    bins.append(F.rint(F.log2(F.col(n) + 1) * 2).alias("n"))
+    binned = add(sample.where("fits"), "text", ["toxic"]).groupBy(*bins)
+    found = binned.agg(F.sum(F.col("toxic").cast("int")).alias("t"), F.count("*").alias("all")).collect()
+    if found:
+        single, more, size, t, every = np.array([[r[c] for c in ("x", "y", "n", "t", "all")] for r in found], dtype=np.float64).T
+        curve = _fit_curve(single / 500, more / 500, 2 ** (size / 2) - 1, t, every - t)
     else:
-        curve = np.array([np.log((share + 1e-6) / (1 - share + 1e-6)), 1.0, 0.0, 0.0])
-    return evidence.withColumn("score", _score(curve)).drop("__id", "__fits", "__x", "__n")
+        curve = np.array([np.log((share + 1e-6) / (1 - share + 1e-6)), 1.0, 0.0, 0.0, 0.0])
+    return add(docs, text_col, columns).select(*whole, _score(curve, *names).alias(score))
+
+
+def _learned(id_col: str) -> Column:
+    """Ids that labels are learned of: the CRC-32 does not leave 2 modulo 4."""
+    return F.coalesce(remainder(id_col, "", 4) != 2, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD, rows: int = FIT_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted``; rows whose id's CRC-32 leaves 2 modulo 4 are held out."""
+    scored = scores(docs, labels, _learned(id_col), [id_col], id_col=id_col, rows=rows)
     held_out = F.coalesce(remainder(id_col, "", 4) == 2, F.lit(False))
-    columns = [F.col(id_col).alias("doc_id"), held_out.alias("held_out")]
-    scored = scores(docs, labels, F.col(id_col).isNotNull() & ~held_out, columns, id_col)
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return scored.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def remove_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", threshold: float = THRESHOLD, rows: int = FIT_ROWS) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more."""
-    held_out = F.coalesce(remainder("doc_id", "", 4) == 2, F.lit(False))
-    # The score depends on the text alone; null and empty texts have the same.
-    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    scored = scores(docs, labels, F.col("doc_id").isNotNull() & ~held_out, [digest.alias("__bad")])
-    bad = scored.where(F.col("score") >= threshold).select("__bad").distinct()
-    return spread_join(docs.withColumn("__digest", digest), bad, [("__digest", "__bad")], "left_anti").select(*docs.columns)
+    score = free(docs.columns, "score")
+    scored = scores(docs, labels, _learned(id_col), docs.columns, score, id_col, rows=rows)
+    return scored.where(F.col(score) < threshold).select(*[f"`{c}`" for c in docs.columns])

@@ -34,7 +34,7 @@ def messy(llm):
     ]
     rows = [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in texts]
     df = llm.createDataFrame(rows, SCHEMA)
-    clashing = ("score", "fp", "key", "id", "begin", "spans", "segment", "place", "d1", "root", "held_out", "predicted", "least")
+    clashing = ("score", "fp", "key", "id", "begin", "spans", "segment", "place", "d1", "root", "held_out", "predicted", "least", "digest", "__digest", "__id", "__words", "evidence", "words", "row", "mark")
     return df.withColumns({name: F.lit(7) for name in clashing})
 
 

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -50,43 +51,105 @@ def test_held_out_labels_are_not_learned_from(docs, labels):
     assert a == b
 
 
-def test_evidence_against_brute_force():
-    drawn = np.random.default_rng(2)
-    texts = ["a b c a b", "", "c c a", "b a b a b a"]
-    data, bounds = text_bytes(pa.array(texts))
-    from snapline.llm.arrays import words_of
-
-    w = T._hashed(words_of(data, bounds).hashes)
-    names = dict(zip("abcab", w[:5].tolist()))
-    n = np.zeros((2, 1 << T.WORD_BITS))
-    for letter in "abc":
-        n[:, names[letter]] = drawn.integers(20, 60, 2)
-    pairs = {("a", "b"): (9, 15), ("b", "a"): (4, 12)}
-    key = np.array([names[v] << T.WORD_BITS | names[x] for v, x in pairs])
-    model = T.made_model(n, key, np.array(list(pairs.values())).T.astype(float))
-
-    total = n.sum(axis=1)
-
-    def p(c, x, v=None):
-        grant = T.GRANTED * total[c] / total.sum()
-        z = np.maximum(n[c] - T.DISCOUNT, 0).sum() + grant * n.shape[1]
-        low = (max(n[c, names[x]] - T.DISCOUNT, 0) + grant) / z
-        own = {k: max(q[c] - T.DISCOUNT, 0) / n[c, names[k[0]]] for k, q in pairs.items() if k[0] == v}
-        return own.get((v, x), 0) + (1 - sum(own.values())) * low
-
-    x, count = model.evidence(data, bounds)
-    for text, got, k in zip(texts, x, count):
+def sample(llm, seed=2, n=40):
+    drawn = random.Random(seed)
+    texts = [" ".join(drawn.choice("abcdefg") for _ in range(drawn.randrange(0, 30))) for _ in range(n)]
+    return [(t, i % 3 == 0) for i, t in enumerate(texts)], "text string, toxic boolean"
+
+
+class Plain:
+    """The formulas of the module's docstring over dictionaries."""
+
+    def __init__(self, rows):
+        self.pairs, self.words = [Counter(), Counter()], [Counter(), Counter()]
+        for text, toxic in rows:
+            own = text.split()
+            for v, w in zip(["", *own], own):
+                self.pairs[not toxic][v, w] += 1
+                self.words[not toxic][w] += 1
+        self.n = [sum(c.values()) for c in self.words]
+        self.share = [n / sum(self.n) for n in self.n]
+        self.k = Counter(w for _, w in set(self.pairs[0]) | set(self.pairs[1]))
+        self.off = lambda n, most: n * most / (n + most) if n else 0.0
+
+    def q(self, w):
+        k = sum(self.k.values())
+        lost = sum(self.off(n, T.CONTINUED) for n in self.k.values())
+        return (self.k[w] - self.off(self.k[w], T.CONTINUED)) / k + lost / k / (len(self.k) + 1)
+
+    def word(self, c, w):
+        most = T.WORD * self.share[c]
+        lost = sum(self.off(n, most) for n in self.words[c].values())
+        return (self.words[c][w] - self.off(self.words[c][w], most)) / self.n[c] + lost / self.n[c] * self.q(w)
+
+    def pair(self, c, v, w):
+        most, after = T.PAIR, {x: n for (a, x), n in self.pairs[c].items() if a == v}
+        if not after:
+            return self.word(c, w)
+        n = sum(after.values())
+        kept = max(after.get(w, 0) - most, 0) / n
+        return kept + sum(min(x, most) for x in after.values()) / n * self.word(c, w)
+
+
+def test_evidence_against_brute_force(llm):
+    rows, schema = sample(llm)
+    plain = Plain(rows)
+    # Every distribution sums to one over the known words and an unknown one, in every context.
+    for c in (0, 1):
+        assert abs(sum(plain.word(c, w) for w in [*plain.k, "?"]) - 1) < 1e-9
+        for v in ["", *plain.k, "?"]:
+            assert abs(sum(plain.pair(c, v, w) for w in [*plain.k, "?"]) - 1) < 1e-9
+    model = T._model(llm.createDataFrame(rows, schema))
+    table = T.table_of(model.words.toArrow(), model.pairs.toArrow(), model.unknown)
+    texts = ["a b c a b", "", "g zz a", "zz yy", *(t for t, _ in rows[:5])]
+    for text, x, y, k in zip(texts, *table.evidence(*text_bytes(pa.array(texts)))):
         own = text.split()
-        ratio = [np.log(p(0, b, a) / p(1, b, a)) for a, b in zip([None, *own], own)]
-        want = np.mean(ratio) - sorted(ratio)[len(ratio) // 2] if own else 0.0
-        assert k == len(own) and abs(got - want) < 1e-5
+        single = [np.log(plain.word(0, w) / plain.word(1, w)) for w in own]
+        pair = [np.log(plain.pair(0, v, w) / plain.pair(1, v, w)) for v, w in zip(["", *own], own)]
+        assert k == len(own)
+        if own:
+            assert abs(x - (np.mean(single) - sorted(single)[len(single) // 2])) < 1e-4
+            assert abs(y - (np.mean(pair) - np.mean(single))) < 1e-4
+        else:
+            assert x == y == 0
+
+
+def test_pairs_that_are_rare_have_counts_of_their_own(llm):
+    """Every word is as frequent in both classes; only the order within 30 expressions, each in at
+    most some 20 texts of a class that are learned from, tells them apart."""
+    pool = [f"common{i}" for i in range(12)]
+
+    def doc(i):
+        drawn = random.Random(i + 1000)
+        some = [(f"left{k}", f"right{k}") for k in drawn.sample(range(30), 4)]
+        own = [drawn.choice(pool) for _ in range(40)]
+        for pair in some:
+            at = drawn.randrange(len(own))
+            own[at:at] = pair if i % 5 == 0 else pair[::-1]
+        return " ".join(own)
+
+    docs = llm.createDataFrame([(i, doc(i)) for i in range(600)], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    apart = [r for r in T.toxicity(docs, labels).collect() if r.held_out]
+    rude, plain = ([r.score for r in apart if (r.doc_id % 5 == 0) == kind] for kind in (True, False))
+    assert np.mean([(a > b) + (a == b) / 2 for a in rude for b in plain]) > 0.9
+
+
+def test_join_gives_the_same_as_the_broadcast(docs, labels, messy, monkeypatch):
+    whole = docs.unionByName(messy, allowMissingColumns=True)
+    plain = lambda df: sorted((repr(r.doc_id), r.predicted, round(r.score, 9)) for r in df.collect())
+    want = plain(T.toxicity(whole, labels))
+    kept = sorted(map(repr, T.remove_toxic(whole, labels).collect()))
+    monkeypatch.setattr(T, "TABLE_BYTES", 0)
+    assert plain(T.toxicity(whole, labels)) == want
+    assert sorted(map(repr, T.remove_toxic(whole, labels).collect())) == kept
 
 
-def test_probabilities_sum_to_one():
-    n = np.zeros((2, 1 << T.WORD_BITS))
-    n[:, :50] = np.random.default_rng(1).integers(0, 40, (2, 50))
-    model = T.made_model(n, np.zeros(0, np.int64), np.zeros((2, 0)))
-    assert np.allclose(model.word.sum(axis=1), 1, atol=1e-3)
+def test_labelled_ids_are_bounded(docs, labels):
+    assert T._drawn(labels, F.lit(True), "doc_id", 10_000).count() == 600
+    few = [T._drawn(labels, F.lit(True), "doc_id", 100) for _ in range(2)]
+    assert 60 < few[0].count() < 140 and sorted(few[0].collect()) == sorted(few[1].collect())
+    assert T.toxicity(docs, labels, rows=100).count() == 600
 
 
 def test_table(llm, messy, nothing, labels, docs):
@@ -104,7 +167,7 @@ def test_shuffled_labels_give_the_same(docs, labels, monkeypatch):
     # Equal but for the order in which floating-point numbers are added.
     plain = lambda df: sorted((r.doc_id, r.predicted, round(r.score, 9)) for r in df.collect())
     want = plain(T.toxicity(docs, labels))
-    monkeypatch.setattr(T, "BROADCAST_LABELS", 0)
+    monkeypatch.setattr(T, "LABEL_BYTES", 0)
     assert plain(T.toxicity(docs, labels)) == want
 
 
