@@ -49,7 +49,7 @@ from snapline.llm.names import free
 from snapline.session import scratch
 
 # Labelled ids that the models are fitted on.
-FIT_ROWS = 20_000
+FIT_ROWS = 15_000
 # Discounts: most of a continuation count, most of a word (of both classes together), and of a pair.
 CONTINUED, WORD, PAIR = 10_000.0, 16.0, 0.75
 THRESHOLD = 0.3
@@ -159,11 +159,11 @@ class Model:
 
     @property
     def words(self) -> DataFrame:
-        return self.rows.where("key & 1 = 0")
+        return self.rows.where("key & 1 = 0").orderBy("key")
 
     @property
     def pairs(self) -> DataFrame:
-        return self.rows.where("key & 1 = 1").select("key", "p0", "p1")
+        return self.rows.where("key & 1 = 1").select("key", "p0", "p1").orderBy("key")
 
     @property
     def small(self) -> bool:
@@ -215,7 +215,7 @@ class Table:
     def ratios(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihood ratio of each word, and what the word before it adds."""
         word, before, pair = _keys(found)
-        own, place = np.unique(np.append(word, np.uint64(0)), return_inverse=True)
+        own, place = np.unique(np.append(word, np.uint64(0)).view(np.int64), return_inverse=True)
         base = np.array([*self.unknown, 0, 0, 1, 1])[:, None]
         of = _looked_up(own, self.word, self.values, base)
         w = place[:-1]
@@ -244,15 +244,14 @@ class Table:
 
 
 def table_of(words: pa.Table, pairs: pa.Table, unknown: np.ndarray) -> Table:
-    own = []
-    for rows, n in ((words, 6), (pairs, 2)):
-        key = rows.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        own += [key[order], np.stack([rows.column(i).to_numpy()[order] for i in range(1, n + 1)])]
-    return Table(*own, unknown)
+    """From rows in the order of their keys."""
+    key = [rows.column("key").to_numpy() for rows in (words, pairs)]
+    values = [np.array([rows.column(i).to_numpy() for i in range(1, n + 1)]) for rows, n in ((words, 6), (pairs, 2))]
+    return Table(key[0], values[0], key[1], values[1], unknown)
 
 
 def _looked_up(wanted: np.ndarray, key: np.ndarray, values: np.ndarray, missing: np.ndarray) -> np.ndarray:
+    wanted = wanted.view(np.int64)  # as Spark orders them
     if not len(key):
         return np.broadcast_to(missing, (len(values), len(wanted))).astype(float)
     place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
@@ -308,7 +307,7 @@ def _joined(docs: DataFrame, text_col: str, columns: list[str], model: Model, sc
     found = asked.join(model.rows, F.col("wanted") == F.col("key")).select("segment", *model.rows.columns)
 
     def scored(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        rows = rows.drop_columns(["segment"])
+        rows = rows.drop_columns(["segment"]).sort_by("key")
         odd = pc.bit_wise_and(rows.column("key"), 1)
         table = table_of(rows.filter(pc.equal(odd, 0)), rows.filter(pc.equal(odd, 1)), unknown)
         made = []
@@ -340,6 +339,7 @@ def _with_evidence(model: Model, names: tuple[str, str, str]) -> Callable[[DataF
     if not model.small:
         return lambda docs, text_col, columns: _joined(docs, text_col, columns, model, widened(docs, columns))
     shared = model.rows.sparkSession.sparkContext.broadcast(table_of(model.words.toArrow(), model.pairs.toArrow(), model.unknown))
+    pa.default_memory_pool().release_unused()
 
     def add(docs: DataFrame, text_col: str, columns: list[str]) -> DataFrame:
         inner = docs.select(*[f"`{c}`" for c in columns], *([] if text_col in columns else [text_col]))
