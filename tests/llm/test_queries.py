@@ -12,7 +12,7 @@ from snapline.llm.simhash import near_duplicates
 from snapline.llm.toxicity import toxicity
 from tests.conftest import SMALL
 
-TABLES = ("documents", "benchmark", "pages", "labels")
+TABLES = ("documents", "benchmark", "pages", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def db():
 def test_all_are_registered():
     names = registered.queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -41,7 +41,7 @@ def test_query_matches_sql(spark, db, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op9_pack"}))
 def test_one_row_for_each_input_row(spark, name):
-    source = "pages" if name.startswith("op8_") else "documents"
+    source = {"op8_url_filter": "pages", "op11_clusters": "embeddings", "op12_warc": "pages"}.get(name, "documents")
     assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{source}.parquet").count()
 
 
