@@ -1,14 +1,15 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Spark sums the n-gram counts of all labelled texts; the log-probabilities, one row per hash bucket
-and one column per language, are broadcast (their size is fixed by ``BUCKETS`` and ``MATRIX_BYTES``,
-however many languages the labels name). Texts are scored in batches: a sparse sum of matrix rows.
+and one column per language, are broadcast in blocks of ``BLOCK`` languages, so the size of each is
+fixed however many languages the labels name, and a language's row of buckets does not depend on how
+many there are. Texts are scored in batches, block after block: a sparse sum of matrix rows.
 Characters other than letters look alike, case is ignored.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and so is every
 text where nothing could be learned; null labels and ids are not learned from; a null id is not held
-out; equal scores go to the first language by name; repeated rows are separate documents; other
-columns are ignored.
+out; equal scores go to the first language by name; repeated rows are separate documents; texts of
+any length are scored whole; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapline.llm.arrays import PIECE, hash_spans, row_slices, text_bytes
+from snapline.session import scratch
 
 GRAMS = (1, 2, 3)
 BUCKETS = 1 << 16
-MATRIX_BYTES = 256 << 20
+BLOCK = 64
 SMOOTHING = 0.1
 UNKNOWN = "und"
 # Languages whose counts a task holds before it passes them on.
@@ -97,57 +100,83 @@ def _counts(labelled: DataFrame, buckets: int) -> DataFrame:
     return labelled.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
-    """Languages in order, and per bucket their log-probabilities; the last row holds the priors."""
+def train(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text", block: int = BLOCK) -> list[tuple[list[str], np.ndarray]]:
+    """Blocks of languages in order, and per bucket their log-probabilities; the last row holds the priors."""
     labelled = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     share = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}
     langs = sorted(share)
-    buckets = BUCKETS
-    while buckets > 1024 and buckets * len(langs) * 4 > MATRIX_BYTES:
-        buckets //= 2
-    counts = _counts(labelled.select(F.lower(text_col), F.col(lang_col).alias("lang")), buckets).toArrow()
-    n = np.zeros((buckets, len(langs)))
-    place = {lang: i for i, lang in enumerate(langs)}
-    column = np.array([place[x] for x in counts.column("lang").to_pylist()], dtype=np.int64)
-    n[counts.column("bucket").to_numpy(), column] = counts.column("n").to_numpy()
-    matrix = np.log(n + SMOOTHING) - np.log(n.sum(axis=0) + SMOOTHING * buckets)
-    prior = np.log(np.array([share[x] for x in langs], dtype=np.float64)) - np.log(max(1, sum(share.values())))
-    return langs, np.vstack([matrix, prior[None, :]]).astype(np.float32)
-
-
-def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns, lang_pred, score`` (the posterior probability of the prediction)."""
-    schema = docs.select(*columns).schema.add("lang_pred", "string").add("score", "double")
-    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    if not langs:
-        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(matrix)
+    counts = _counts(labelled.select(F.lower(text_col), F.col(lang_col).alias("lang")), BUCKETS)
+    if len(langs) > block:
+        path = scratch(docs.sparkSession, "grams")
+        counts.write.parquet(path)
+        counts = docs.sparkSession.read.parquet(path)
+    made = []
+    for low in range(0, len(langs), block):
+        own = langs[low : low + block]
+        found = (counts.where(F.col("lang").isin(own)) if len(langs) > block else counts).toArrow()
+        n, place = np.zeros((BUCKETS, len(own))), {lang: i for i, lang in enumerate(own)}
+        column = np.array([place[x] for x in found.column("lang").to_pylist()], dtype=np.int64)
+        n[found.column("bucket").to_numpy(), column] = found.column("n").to_numpy()
+        matrix = np.log(n + SMOOTHING) - np.log(n.sum(axis=0) + SMOOTHING * BUCKETS)
+        prior = np.log(np.array([share[x] for x in own], dtype=np.float64)) - np.log(max(1, sum(share.values())))
+        made.append((own, np.vstack([matrix, prior[None, :]]).astype(np.float32)))
+    return made
+
+
+def _likelihoods(data: np.ndarray, bounds: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Of each text in each language of the block."""
+    weights, log = matrix[:-1], np.tile(matrix[-1].astype(np.float64), (len(bounds) - 1, 1))
+    for low, high in row_slices(bounds, PIECE):
+        own = bounds[low : high + 1]
+        for row, bucket in grams(data[own[0] : own[-1]], own - own[0], len(weights)):
+            for k in range(weights.shape[1]):
+                log[low:high, k] += np.bincount(row, weights=weights[bucket, k], minlength=high - low)
+    return log
+
+
+# The best language so far, its log-likelihood, and the sum of all relative to it.
+_STATE = (("lang_pred", "string"), ("log", "double"), ("total", "double"))
+
+
+def _scored(rows: DataFrame, langs: list[str], matrix: np.ndarray, fresh: bool) -> DataFrame:
+    """``rows`` (text, columns, then the state unless ``fresh``) with the state after a block of languages."""
+    schema = StructType(rows.schema.fields[: len(rows.columns) - (0 if fresh else len(_STATE))])
+    width = len(schema)
+    for name, kind in _STATE:
+        schema = schema.add(name, kind)
+    shared = rows.sparkSession.sparkContext.broadcast(matrix)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, prior = shared.value[:-1], shared.value[-1].astype(np.float64)
-        names = np.array([*langs, UNKNOWN], dtype=object)
+        names = np.array(langs, dtype=object)
         for batch in batches:
-            data, bounds = text_bytes(batch.column(0))
-            known = batch.column(1).to_numpy(zero_copy_only=False)
-            log = np.tile(prior, (len(known), 1))
-            for low, high in row_slices(bounds, PIECE):
-                own = bounds[low : high + 1]
-                for row, bucket in grams(data[own[0] : own[-1]], own - own[0], len(weights)):
-                    for k in range(len(langs)):
-                        log[low:high, k] += np.bincount(row, weights=weights[bucket, k], minlength=high - low)
-            best = log.argmax(axis=1)
-            posterior = 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
-            best[~known] = len(langs)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(names[best], pa.string()), pa.array(np.where(known, posterior, 0.0))], names=schema.fieldNames()
-            )
+            log = _likelihoods(*text_bytes(batch.column(0)), shared.value)
+            best, top = names[log.argmax(axis=1)], log.max(axis=1)
+            total = np.exp(log - top[:, None]).sum(axis=1)
+            if not fresh:
+                before, old, rest = (batch.column(width + i).to_numpy(zero_copy_only=False) for i in range(3))
+                both = np.maximum(old, top)
+                total = total * np.exp(top - both) + rest * np.exp(old - both)
+                best, top = np.where(top > old, best, before), both
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(best, pa.string()), pa.array(top), pa.array(total)], names=schema.fieldNames())
+
+    return rows.mapInArrow(scored, schema)
+
 
-    return docs.select(F.lower(text_col).alias("__text"), letters.alias("__letters"), *columns).mapInArrow(scored, schema)
+def identify(docs: DataFrame, blocks: list[tuple[list[str], np.ndarray]], columns: list[str], text_col: str = "text") -> DataFrame:
+    """``columns, lang_pred, score`` (the posterior probability of the prediction)."""
+    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    if not blocks:
+        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    rows = docs.select(F.lower(text_col).alias("__text"), letters.alias("__letters"), *columns)
+    for at, (langs, matrix) in enumerate(blocks):
+        rows = _scored(rows, langs, matrix, at == 0)
+    known = lambda value, other: F.when(F.col("__letters"), value).otherwise(other)
+    return rows.select(*columns, known(F.col("lang_pred"), UNKNOWN).alias("lang_pred"), known(1 / F.col("total"), 0.0).alias("score"))
 
 
 def languages(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score``; rows whose id's CRC-32 leaves 1 modulo 3 are held out."""
     apart = held_out(id_col)
-    langs, matrix = train(docs, ~apart & F.col(id_col).isNotNull(), lang_col, text_col)
+    blocks = train(docs, ~apart & F.col(id_col).isNotNull(), lang_col, text_col)
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"), apart.alias("held_out"))
-    return identify(rows, langs, matrix, ["doc_id", "held_out"])
+    return identify(rows, blocks, ["doc_id", "held_out"])

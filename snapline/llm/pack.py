@@ -75,17 +75,19 @@ class _Ids(dict):
         return np.array(self.tokenizer.encode(self.space + word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
-_memory: dict[str, tuple[_Ids, _Ids]] = {}
+_memory: dict[str, tuple[_Ids, _Ids, tuple[str, ...]]] = {}
 
 
 def token_bytes(text: str, file: str = TOKENIZER) -> bytes:
     """The ids of a text, four bytes each."""
     if file not in _memory:  # once per worker process
         tokenizer = Tokenizer.from_file(public_tokenizers.path(file) if "/" not in file else file)
-        tokenizer.encode_special_tokens = True
         first = _Ids(tokenizer)
-        _memory[file] = (first, _Ids(tokenizer, first))
-    first, rest = _memory[file]
+        marks = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+        _memory[file] = (first, _Ids(tokenizer, first), marks)
+    first, rest, marks = _memory[file]
+    if any(mark in text for mark in marks):  # such a mark is one token wherever it stands
+        return first.encoded(text)
     words = text.split(" ")
     try:
         if words[0] and not _IS_PLAIN(words[0][-1]) and len(words) > 1:

@@ -3,14 +3,17 @@
 The rules find e-mail addresses, IP addresses, payment cards and phone numbers; they always stand.
 The field labels tokens (B-kind, I-kind or O) by their shape and their neighbours' and adds spans
 where no rule matched. It is trained on a small labelled table, here tokens of a bounded sample of
-texts labelled by the rules, by the gradient of its log-likelihood.
+texts labelled by the rules, by the gradient of its log-likelihood. That table, and runs of it beyond ``LONGEST_RUN`` tokens, are
+bounded for fitting only; every text is decoded whole.
 
 A token without a digit and without ``@`` is O by definition. Such tokens cut a text into short
 runs, and the best labelling of a whole text is that of each run; so only runs are decoded, by
 Viterbi over all runs of a batch at once.
 
 Defined results: null and empty texts have no spans; repeated rows are separate documents; a sample
-without any run gives a field that adds nothing; other columns are ignored.
+without any run gives a field that adds nothing; of equally good labellings the one with the smaller
+labels stands; texts of any length are looked at whole, in linear time; an empty table gives an empty
+one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,7 +73,7 @@ def base_spans(text: str) -> list[Span]:
         return []
     spans = [(s, 0, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(int(p) <= IP_PART for p in m.group().split(".") if len(p) < 4000) and max(map(len, m.group().split("."))) < 4000:
+        if all(len(p) <= 3 and int(p or 0) <= IP_PART for p in (part.lstrip("0") for part in m.group().split("."))):
             spans.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= CARD_DIGITS[0] and CARD_DIGITS[0] <= len(d := _digits(m.group())) <= CARD_DIGITS[1] and luhn(d):
@@ -115,7 +118,6 @@ def runs(text: str) -> list[list[Token]]:
 
 
 def _shape(token: str) -> str:
-    token = token[:64]
     return _SHAPE.sub(lambda m: "9" if m.group() <= "9" else "A" if "A" <= m.group() <= "Z" else "a", token)
 
 
@@ -141,12 +143,29 @@ def run_features(text: str, run: list[Token]) -> np.ndarray:
     return np.array([token_features(words[i], words[i - 1], words[i + 1]) for i in range(1, len(words) - 1)])
 
 
+def _first_over(spans: list[Span]) -> Callable[[int, int], Span | None]:
+    """Finds the first of ``spans`` (by start) that a range overlaps; ranges are asked for in ascending order."""
+    low = 0
+
+    def first(start: int, end: int) -> Span | None:
+        nonlocal low
+        while low < len(spans) and spans[low][2] <= start:
+            low += 1
+        at = low
+        while at < len(spans) and spans[at][0] < end:
+            if start < spans[at][2]:
+                return spans[at]
+            at += 1
+        return None
+
+    return first
+
+
 def run_labels(run: list[Token], spans: list[Span]) -> list[int]:
     """Labels of a run by the spans that its tokens overlap."""
-    labels, last = [], None
+    labels, last, first = [], None, _first_over(spans)
     for start, end in run:
-        over = [x for x in spans if x[0] < end and start < x[2]]
-        span = over[0] if over else None
+        span = first(start, end)
         labels.append(0 if span is None else 1 + 2 * span[1] + (span == last))
         last = span
     return labels
@@ -243,6 +262,7 @@ _EDGE = re.compile(r"[A-Za-z0-9+](?:.*[A-Za-z0-9])?", re.S)
 def added_spans(text: str, found: list[list[Token]], labels: list[np.ndarray], base: list[Span]) -> list[Span]:
     """Spans of labelled tokens, without the signs at their edges, that overlap no rule's span."""
     made: list[Span] = []
+    first = _first_over(base)
     for run, best in zip(found, labels):
         spans: list[list[int]] = []
         for (start, end), label in zip(run, best):
@@ -252,7 +272,7 @@ def added_spans(text: str, found: list[list[Token]], labels: list[np.ndarray], b
                 spans[-1][2] = end
         for start, kind, end in spans:
             core = _EDGE.search(text, start, end)
-            if core and not any(s < core.end() and core.start() < e for s, _, e in base):
+            if core and first(*core.span()) is None:
                 made.append((core.start(), kind, core.end()))
     return made
 

@@ -38,7 +38,8 @@ def test_labels_of_held_out_rows_are_not_learned_from(docs):
 
 
 def test_against_brute_force(docs):
-    langs, matrix = L.train(docs, ~L.held_out("doc_id"))
+    blocks = L.train(docs, ~L.held_out("doc_id"))
+    [(langs, matrix)] = blocks
     assert langs == ["aa", "bb", "cc"]
     text = said("bb", 12, 5) + " x9é"
     data, bounds = text_bytes(pa.array([text]))
@@ -48,7 +49,7 @@ def test_against_brute_force(docs):
         log = log + matrix[bucket].sum(axis=0)
         n += len(bucket)
     assert n == sum(len(text) - k + 1 for k in L.GRAMS)
-    row = L.identify(docs.limit(1).withColumn("text", F.lit(text)), langs, matrix, ["doc_id"]).first()
+    row = L.identify(docs.limit(1).withColumn("text", F.lit(text)), blocks, ["doc_id"]).first()
     assert row.lang_pred == langs[int(log.argmax())]
     assert abs(row.score - 1 / np.exp(log - log.max()).sum()) < 1e-4
 
@@ -69,7 +70,13 @@ def test_table(messy, nothing, docs):
     assert {r.lang_pred for r in L.languages(messy.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_matrix_stays_in_its_bound(docs, monkeypatch):
-    monkeypatch.setattr(L, "MATRIX_BYTES", 3 * 4 * 2048)
-    _, matrix = L.train(docs, ~L.held_out("doc_id"))
-    assert matrix.shape == (2049, 3)
+def test_blocks_of_languages_give_the_same(docs, messy):
+    """However many languages there are, a language's buckets and its predictions stay as they are."""
+    whole = docs.unionByName(messy, allowMissingColumns=True)
+    learn = ~L.held_out("doc_id") & F.col("doc_id").isNotNull()
+    said_ = lambda block: L.identify(whole, L.train(whole, learn, block=block), ["doc_id"])
+    want = sorted((repr(r.doc_id), r.lang_pred, round(r.score, 6)) for r in said_(64).collect())
+    for block in (1, 2):
+        blocks = L.train(whole, learn, block=block)
+        assert max(len(langs) for langs, _ in blocks) == block and all(m.shape[0] == L.BUCKETS + 1 for _, m in blocks)
+        assert sorted((repr(r.doc_id), r.lang_pred, round(r.score, 6)) for r in said_(block).collect()) == want

@@ -9,7 +9,6 @@ from tokenizers import Tokenizer
 from snapline.llm import pack as P
 
 T = Tokenizer.from_file(public_tokenizers.path(P.TOKENIZER))
-T.encode_special_tokens = True
 
 
 def ids(text):
