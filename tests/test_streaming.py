@@ -84,3 +84,48 @@ def test_counts_with_a_watermark(spark, tmp_path, table, rows, conf):
 def test_nothing_written_yet(spark, tmp_path):
     with pytest.raises(ValueError):
         refresh.read_latest(spark, str(tmp_path), KEYS, ORDER)
+
+
+def _files(folder):
+    return {p.relative_to(folder): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_a_compaction_rewrites_only_the_buckets_that_changes_touch(spark, tmp_path, rows):
+    path, folder = str(tmp_path / "t"), tmp_path / "t" / "base"
+    first = spark.range(400).selectExpr("id AS k", "0L AS at", "id AS bucket", "id AS key_bucket_")
+    refresh._write_change(first, path, 0)
+    refresh.compact(spark, path, ["k"], ["at"], buckets=32)
+    before = _files(folder)
+    assert len({name.parts[1] for name in before}) == 32
+    changed = spark.createDataFrame([(7, 1, -1, -1), (9, 1, -1, -1), (1000, 1, -1, -1), (11, -1, -1, -1)], first.schema)
+    refresh._write_change(changed, path, 1)
+    refresh.compact(spark, path, ["k"], ["at"], buckets=5)  # a table keeps the number it began with
+    touched = {r[0] for r in changed.select(refresh.bucket_of(["k"], 32)).collect()}
+    after = _files(folder)
+    assert all(after[name] == stamp for name, stamp in before.items()) and 1 < len(touched) <= 4
+    assert {name.parts[1] for name in set(after) - set(before)} == {f"key_bucket={b}" for b in touched}
+    want = rows(latest_by(first.unionByName(changed), ["k"], ["at"]))
+    assert rows(refresh.read_latest(spark, path, ["k"], ["at"])) == want
+    # What the first compaction wrote of these buckets is still there for readers on the old pointer, and goes with the next.
+    refresh._write_change(changed.limit(1), path, 2)
+    refresh.compact(spark, path, ["k"], ["at"])
+    last = _files(folder)
+    gone = {name.parts[1] for name in set(after) - set(last)}
+    assert gone == {f"key_bucket={b}" for b in touched}
+    assert rows(refresh.read_latest(spark, path, ["k"], ["at"])) == want
+    # A bucket's current files are one version: each bucket in use is listed once in the pointer.
+    assert set(refresh._state(spark, path)["buckets"]) == {str(b) for b in range(32)}
+
+
+def test_some_keys_read_only_their_buckets(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    refresh._write_change(spark.range(300).selectExpr("id AS k", "1L AS at"), path, 0)
+    refresh.compact(spark, path, ["k"], ["at"])
+    refresh._write_change(spark.createDataFrame([(5, 2), (500, 2)], "k long, at long"), path, 1)
+    some = spark.createDataFrame([(5,), (6,), (500,), (501,)], "k long")
+    found = refresh.read_keys(spark, path, some, ["k"], ["at"])
+    assert rows(found) == [(5, 2), (500, 2), (6, 1)]
+    assert len({f.split("/")[-2] for f in found.inputFiles() if "/base/" in f}) <= 4
+    assert refresh.read_keys(spark, path, some.where("false"), ["k"], ["at"]).count() == 0
+    refresh.compact(spark, path, ["k"], ["at"])
+    assert rows(refresh.read_keys(spark, path, some, ["k"], ["at"])) == [(5, 2), (500, 2), (6, 1)]
