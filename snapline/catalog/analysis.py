@@ -11,11 +11,11 @@ from snapline.functions.dates import fmt_day
 from snapline.functions.predicates import has_text, not_like_any, whitelist
 from snapline.operators import adhoc as sql_
 from snapline.operators import dashboard as dash
-from snapline.operators import grid
+from snapline.operators import grid, sketches
 from snapline.operators.export import csv_lines
 from snapline.operators.metrics import metric_counts, normalize_metrics, project, sample_series, union_all
 from snapline.operators.profile import column_profile, numeric_columns
-from snapline.plans.snapshot import snapshot_views, write_snapshot
+from snapline.plans.snapshot import read_sketches, search_snapshot, snapshot_views, write_snapshot
 from snapline.session import scratch
 from snapline.sources import tables
 from snapline.streaming import refresh
@@ -198,6 +198,16 @@ def _(spark, d):
     return dash.equality_filters(_data(spark, d), {"status": "O", "customer_id": "7", "segment": "__all__", "name": ""})
 
 
+@query("dashboard_kpis", m.with_(m.DATA) + _KPIS + " FROM data WHERE status = 'O'")
+def _(spark, d):
+    return dash.dashboard(_data(spark, d), ORDER_DASHBOARD, {"status": "O"})["kpis"]
+
+
+@query("dashboard_options", m.with_(m.DATA) + "SELECT DISTINCT sales_channel_name FROM data WHERE sales_channel_name IS NOT NULL")
+def _(spark, d):
+    return dash.dashboard(_data(spark, d), ORDER_DASHBOARD, {"status": "O"})["filters"]["sales_channel_name"]
+
+
 @query("bar_by_status", m.with_(m.DATA) + "SELECT status AS x, CAST(count(id) AS DOUBLE) AS y FROM data GROUP BY 1")
 def _(spark, d):
     w = ORDER_DASHBOARD["widgets"][1]
@@ -407,6 +417,46 @@ def _(spark, d):
     return numeric_columns(rows, ["id"])
 
 
+# --- sketches and search index ---------------------------------------------------------------
+
+_SKETCHED = ("customer_id", "status", "type_name", "name", "amount")
+
+
+def _sketched(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "sketched")
+    write_snapshot(_data(spark, d), path, sketch=("entry_date", _SKETCHED))
+    return read_sketches(spark, path)
+
+
+@query("distinct_by_day", m.with_(m.DATA) + "\nUNION ALL ".join(
+    f"SELECT entry_date AS day, '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_values FROM data GROUP BY 1" for c in _SKETCHED))
+def _(spark, d):
+    return sketches.distinct_by_day(_sketched(spark, d))
+
+
+@query("distinct_merged", m.with_(m.DATA) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS nulls, count(DISTINCT {c}) AS exact, "
+    "true AS within_bound FROM data WHERE entry_date BETWEEN '1994-03-01' AND '1997-10-31'" for c in _SKETCHED))
+def _(spark, d):
+    """Months united from their days' sketches, held against the exact counts."""
+    first, last = "1994-03-01", "1997-10-31"
+    united = sketches.distinct_between(_sketched(spark, d), first, last)
+    rows = _data(spark, d).where(F.col("entry_date").between(first, last)).select(*_SKETCHED)
+    exact = column_profile(rows).select(F.col("column_name").alias("of"), F.col("distinct_values").alias("exact"))
+    within = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * sketches.error_bound())
+    return united.join(exact, F.col("column_name") == F.col("of")).select("column_name", "row_count", "nulls", "exact", within.alias("within_bound"))
+
+
+@query("grid_search_indexed", m.with_(m.DATA) + "SELECT * FROM data WHERE " + " OR ".join(
+    f"CAST({c} AS VARCHAR) ILIKE '%er#0000_0017%'" for c in ("status", "entry_date", "name", "type_name", "segment", "sales_channel_name")))
+def _(spark, d):
+    """The data in files by customer; the term's longest literal leaves out those that cannot hold it."""
+    path = scratch(spark, "indexed")
+    write_snapshot(_data(spark, d).repartitionByRange(8, "customer_id"), path, search_index=True)
+    return search_snapshot(spark, path, "er#0000_0017")
+
+
 # --- ad-hoc SQL ------------------------------------------------------------------------------
 
 @query("adhoc_status_counts", m.with_(m.DATA) + "SELECT status, count(*) AS orders FROM data GROUP BY 1 ORDER BY orders DESC")
@@ -480,6 +530,16 @@ def _(spark, d):
     return refresh.read_latest(spark, path, ["l_orderkey"], ["l_shipdate"], _TIEBREAK)
 
 
+@query("stream_latest_keys", m.with_(m.DAY_LATEST) + "SELECT * FROM day_latest WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def _(spark, d):
+    """Some keys of the streamed table, from their buckets alone."""
+    path = scratch(spark, "latest")
+    stream = _arriving(spark, tables.table(spark, d, "lineitem"), "lines")
+    refresh.refresh_latest(stream, path, ["l_orderkey"], ["l_shipdate"], _TIEBREAK, compact_every=2).awaitTermination()
+    urgent = tables.table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return refresh.read_keys(spark, path, urgent, ["l_orderkey"], ["l_shipdate"], _TIEBREAK)
+
+
 @query("stream_metric_counts", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS cnt FROM events GROUP BY 1, 2")
 def _(spark, d):
     path = scratch(spark, "counts")

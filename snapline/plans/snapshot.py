@@ -3,6 +3,8 @@
     <path>/manifest.json
     <path>/versions/<id>/data/*.parquet
     <path>/versions/<id>/sources/<name>/*.parquet
+    <path>/versions/<id>/sketches/*.parquet       distinct counts per day that merge, if asked for
+    <path>/versions/<id>/trigrams/*.parquet       which files may hold a search term, if asked for
 
 Readers follow the manifest, so they never see a half-written version, and nothing is
 moved: replacing the manifest is the whole publication.
@@ -22,8 +24,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from snapline.operators.grid import grid_search
 from snapline.operators.profile import missing_columns
 from snapline.operators.protect import decrypt_columns, encrypt_columns
+from snapline.operators.sketches import day_sketches
+from snapline.operators.trigrams import file_trigrams, indexed_search
 from snapline.sources import files
 
 log = logging.getLogger(__name__)
@@ -74,6 +79,9 @@ class Manifest:
     status: str = OK
     error: str | None = None
     stale_at: str | None = None
+    # The day column and the columns of the distinct-count sketches; whether there is a search index.
+    sketches: dict[str, Any] = field(default_factory=dict)
+    search_index: bool = False
     # Versions that were current once, oldest first; what is on disk besides them is unfinished.
     published: list[str] = field(default_factory=list)
 
@@ -119,13 +127,17 @@ def write_snapshot(
     encrypt: Sequence[str] = (),
     key: Column | None = None,
     spark: SparkSession | None = None,
+    sketch: tuple[str, Sequence[str]] | None = None,
+    search_index: bool = False,
 ) -> Manifest:
     """Write a new version, check it, then make it current. On failure it is deleted again and
     the current one is untouched; a source table that cannot be written is left out.
 
     ``df`` may be a function of the source tables: they are written first, once, and what it
     gets are the written ones, so the data and the published sources show the same state.
-    The columns named in ``encrypt`` are encrypted wherever they occur.
+    The columns named in ``encrypt`` are encrypted wherever they occur. ``sketch`` names a day column
+    and columns whose distinct counts are kept as sketches; ``search_index`` asks for the files' trigrams.
+    Both are made from the written data, so encrypted columns have neither.
     """
     spark = spark or (df.sparkSession if isinstance(df, DataFrame) else SparkSession.active())
     if isinstance(df, DataFrame):
@@ -163,6 +175,12 @@ def write_snapshot(
             rules.check_columns(df)
         row_count = _write(protected("data", df), f"{home}/data")
         rules.check_rows(row_count)
+        clear = spark.read.parquet(f"{home}/data").drop(*hidden.get("data", {}))
+        sketched = [c for c in sketch[1] if c in clear.columns] if sketch and sketch[0] in clear.columns else []
+        if sketched:
+            day_sketches(clear, sketch[0], sketched).write.option("compression", COMPRESSION).parquet(f"{home}/sketches")
+        if search_index:
+            file_trigrams(clear).write.option("compression", COMPRESSION).parquet(f"{home}/trigrams")
     except Exception:
         files.delete(spark, home)
         raise
@@ -178,6 +196,8 @@ def write_snapshot(
         source_tables_info=written,
         encrypted=bool(hidden),
         encrypted_columns=hidden,
+        sketches={"day": sketch[0], "columns": sketched} if sketched else {},
+        search_index=search_index,
         published=[*(before.published or ([before.version] if before.version else [])), version],
     )
     files.replace_text(spark, _manifest_path(path), manifest.to_json())
@@ -225,6 +245,24 @@ def read_snapshot(spark: SparkSession, path: str, key: Column | None = None) ->
     return _open(spark, path, read_manifest(spark, path), "data", key)
 
 
+def read_sketches(spark: SparkSession, path: str) -> DataFrame:
+    """``day, column_name, row_count, nulls, sketch`` of the current version."""
+    manifest = read_manifest(spark, path)
+    if not manifest.sketches:
+        raise ContractError("the snapshot was written without sketches")
+    return spark.read.parquet(f"{path}/versions/{manifest.version}/sketches")
+
+
+def search_snapshot(spark: SparkSession, path: str, term: str) -> DataFrame:
+    """``grid_search`` of the current version; with a search index only files that may hold the term are opened."""
+    manifest = read_manifest(spark, path)
+    data = _open(spark, path, manifest, "data", None)
+    # Encrypted cells are not in the index, but their bytes count as text.
+    if not manifest.search_index or manifest.encrypted_columns.get("data"):
+        return grid_search(data, term)
+    return indexed_search(data, spark.read.parquet(f"{path}/versions/{manifest.version}/trigrams"), term)
+
+
 def snapshot_views(
     spark: SparkSession, path: str, key: Column | None = None
 ) -> dict[str, DataFrame]:
