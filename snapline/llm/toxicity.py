@@ -34,7 +34,7 @@ texts are whole, and an empty table gives an empty one; other columns are ignore
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,12 +49,14 @@ from snapline.llm.names import free
 from snapline.session import scratch
 
 # Labelled ids that the models are fitted on.
-FIT_ROWS = 15_000
+FIT_ROWS = 12_000
 # Discounts: most of a continuation count, most of a word (of both classes together), and of a pair.
 CONTINUED, WORD, PAIR = 10_000.0, 16.0, 0.75
 THRESHOLD = 0.3
 # Bytes of ids, and of the scoring table, up to which they are broadcast.
 LABEL_BYTES, TABLE_BYTES = 64 << 20, 256 << 20
+# Rows of the scoring table that the driver fetches at once.
+FETCHED = 250_000
 SLICE_BYTES = 2 << 20
 SEGMENT_BYTES = 4 << 20
 
@@ -157,14 +159,6 @@ class Model:
     unknown: np.ndarray
     curve: np.ndarray | None = None
 
-    @property
-    def words(self) -> DataFrame:
-        return self.rows.where("key & 1 = 0").orderBy("key")
-
-    @property
-    def pairs(self) -> DataFrame:
-        return self.rows.where("key & 1 = 1").select("key", "p0", "p1").orderBy("key")
-
     @property
     def small(self) -> bool:
         return self.rows.count() * 32 <= TABLE_BYTES
@@ -243,11 +237,27 @@ class Table:
         return x, y, n
 
 
-def table_of(words: pa.Table, pairs: pa.Table, unknown: np.ndarray) -> Table:
-    """From rows in the order of their keys."""
-    key = [rows.column("key").to_numpy() for rows in (words, pairs)]
-    values = [np.array([rows.column(i).to_numpy() for i in range(1, n + 1)]) for rows, n in ((words, 6), (pairs, 2))]
-    return Table(key[0], values[0], key[1], values[1], unknown)
+def table_of(words: Iterable[pa.Table], pairs: Iterable[pa.Table], unknown: np.ndarray) -> Table:
+    """From rows by ascending keys, in slices: the least is held beside the arrays that are made."""
+    own = []
+    for slices, n in ((words, 6), (pairs, 2)):
+        parts = [(rows.column(0).to_numpy(), np.array([rows.column(i).to_numpy() for i in range(1, n + 1)], np.float32)) for rows in slices]
+        own += [np.concatenate([key for key, _ in parts]), np.concatenate([values for _, values in parts], axis=1)]
+    return Table(*own, unknown)
+
+
+def fetched(rows: DataFrame) -> Iterator[pa.Table]:
+    """Rows by ascending keys, fetched a range of keys after another: these are hashes, so ranges are alike."""
+    n = max(1, -(-rows.count() // FETCHED))
+    edges = [-(1 << 63) + ((1 << 64) * i // n) for i in range(n)]
+    for low, high in zip(edges, [*edges[1:], None]):
+        part = rows.where(F.col("key") >= low)
+        yield (part if high is None else part.where(F.col("key") < high)).orderBy("key").toArrow()
+
+
+def broadcast_table(model: Model) -> Table:
+    words, pairs = model.rows.where("key & 1 = 0"), model.rows.where("key & 1 = 1").select("key", "p0", "p1")
+    return table_of(fetched(words), fetched(pairs), model.unknown)
 
 
 def _looked_up(wanted: np.ndarray, key: np.ndarray, values: np.ndarray, missing: np.ndarray) -> np.ndarray:
@@ -309,7 +319,7 @@ def _joined(docs: DataFrame, text_col: str, columns: list[str], model: Model, sc
     def scored(texts: pa.Table, rows: pa.Table) -> pa.Table:
         rows = rows.drop_columns(["segment"]).sort_by("key")
         odd = pc.bit_wise_and(rows.column("key"), 1)
-        table = table_of(rows.filter(pc.equal(odd, 0)), rows.filter(pc.equal(odd, 1)), unknown)
+        table = table_of([rows.filter(pc.equal(odd, 0))], [rows.filter(pc.equal(odd, 1))], unknown)
         made = []
         for at in range(len(texts)):
             bounds = np.frombuffer(texts.column("bounds")[at].as_py(), "<i8")
@@ -338,7 +348,7 @@ def _with_evidence(model: Model, names: tuple[str, str, str]) -> Callable[[DataF
 
     if not model.small:
         return lambda docs, text_col, columns: _joined(docs, text_col, columns, model, widened(docs, columns))
-    shared = model.rows.sparkSession.sparkContext.broadcast(table_of(model.words.toArrow(), model.pairs.toArrow(), model.unknown))
+    shared = model.rows.sparkSession.sparkContext.broadcast(broadcast_table(model))
     pa.default_memory_pool().release_unused()
 
     def add(docs: DataFrame, text_col: str, columns: list[str]) -> DataFrame:
