@@ -15,6 +15,7 @@ from snapline.functions.keys import key_of
 from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window, spread_join
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import distinct_ids, restrict_to_keys
+from snapline.session import scratch
 
 # The columns of an order snapshot, in order.
 SNAPSHOT_COLUMNS = (
@@ -65,6 +66,12 @@ def _customers(lookup: DataFrame, dedupe: bool) -> DataFrame:
     return latest_by(rows, ["__customer"], PERSONAL_COLUMNS) if dedupe else rows
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path, schema = scratch(df.sparkSession, name), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def _newest_first(df: DataFrame) -> DataFrame:
     """By creation time; the id only spreads equal times over the range partitions."""
     return df.orderBy(F.col("created_at").desc_nulls_last(), F.col("id").desc_nulls_last())
@@ -82,6 +89,9 @@ def assemble_history(
     Latest is per customer over all its qualifying CRM orders, not per order. Each CRM
     order is checked against the windows before the ranking, and the ranking leaves one
     row per customer, so only the check exchanges the CRM history.
+
+    The unregistered orders are found once, in a job of its own that writes them to the scratch folder:
+    both the windows and the result are made from them, and the not-in reads every order.
     """
     orders, ids = sources["customer_orders"], sources["crm_cust_order_ids"]
     ids = ids.select(key_of(ids, "id").alias("id"))
@@ -91,7 +101,7 @@ def assemble_history(
         "__customer_key", key_of(orders, "customer_id")
     )
 
-    unregistered = anti_not_in(orders, "__order", ids, "id", restricted=True).drop("__order")
+    unregistered = _staged(anti_not_in(orders, "__order", ids, "id", restricted=True).drop("__order"), "unregistered")
     windows = unregistered.select(F.col("__customer_key").alias("__crm_customer"), F.col("created_at").alias("__created"))
     candidates = semi_window(crm, windows, "__crm_customer", "order_date_create", "__created", width)
     latest = latest_by(candidates, ["__crm_customer"], ["order_date_create"], tiebreak)
