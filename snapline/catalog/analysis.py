@@ -15,6 +15,7 @@ from snapline.operators import grid, sketches
 from snapline.operators.export import csv_lines
 from snapline.operators.metrics import metric_counts, normalize_metrics, project, sample_series, union_all
 from snapline.operators.profile import column_profile, numeric_columns
+from snapline.plans.pages import Pages, write_pages
 from snapline.plans.snapshot import read_sketches, search_snapshot, snapshot_views, write_snapshot
 from snapline.session import scratch
 from snapline.sources import tables
@@ -346,6 +347,16 @@ def _(spark, d):
     return grid.grid_page_after(data, None, True, "id", _held_row(data))
 
 
+@query("grid_page_layout", _KEYSET + """SELECT data.* FROM data, ends WHERE created_at < c OR (created_at = c AND id > i)
+ORDER BY created_at DESC NULLS LAST, id LIMIT 100""")
+def _(spark, d):
+    """The page behind place 300 from the two files that hold it, of a grid written in page order."""
+    path, data = scratch(spark, "pages"), _data(spark, d)
+    write_pages(data, path, "id", rows_per_file=1000)
+    last = _held_row(data).first()
+    return Pages(spark, path).after(last["created_at"], last["id"])
+
+
 @query("grid_page_back", _KEYSET + """SELECT data.* FROM data, ends WHERE (created_at > c OR (created_at = c AND id < i)) AND status = 'O'
 ORDER BY created_at, id DESC LIMIT 100""")
 def _(spark, d):

@@ -1,0 +1,38 @@
+import pytest
+
+from snapline.operators.grid import grid_sort, grid_window
+from snapline.plans.pages import Pages, write_pages
+
+
+@pytest.mark.parametrize("desc", [True, False])
+def test_every_page_equals_the_grids(spark, tmp_path, desc):
+    df = spark.range(500).selectExpr("id", "if(id % 9 = 0, null, int(id * 7919 % 40)) AS v", "concat('t', id) AS t")
+    path = str(tmp_path / "p")
+    write_pages(df.repartition(5), path, "id", sort="v", desc=desc, rows_per_file=30)
+    pages = Pages(spark, path)
+    whole = [tuple(r) for r in grid_sort(df, "v", desc, ["id"]).collect()]
+    assert [tuple(r) for r in pages.first(20).collect()] == whole[:20] and pages.total().first()[0] == 500
+    for at in (0, 18, 29, 30, 251, 444, 470, 498, 499):
+        v, i = whole[at][1], whole[at][0]
+        behind, ahead = pages.after(v, i, 20), pages.before(v, i, 20)
+        assert [tuple(r) for r in behind.collect()] == whole[at + 1 : at + 21]
+        assert [tuple(r) for r in ahead.collect()] == whole[max(0, at - 20) : at]
+        assert len(behind.inputFiles()) <= 3 and len(ahead.inputFiles()) <= 3
+        assert [tuple(r) for r in grid_window(df, "id", sort="v", desc=desc, after=(v, i), size=20).collect()] == whole[at + 1 : at + 21]
+
+
+def test_a_page_reads_two_files_of_many(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id", "id % 1000 AS v")
+    path = str(tmp_path / "p")
+    write_pages(df, path, "id", sort="v", rows_per_file=500)
+    pages = Pages(spark, path)
+    assert pages.files.count() >= 40
+    assert max(len(pages.after(v, 5, 100).inputFiles()) for v in (999, 700, 31, 1)) <= 2
+    assert all("/files/" in f for f in pages.total().inputFiles())
+
+
+def test_an_empty_grid(spark, tmp_path):
+    path = str(tmp_path / "p")
+    write_pages(spark.range(0).selectExpr("id", "id AS v"), path, "id", sort="v")
+    pages = Pages(spark, path)
+    assert pages.total().first()[0] == 0 and pages.first().count() == 0 and pages.after(1, 1).count() == 0
