@@ -95,6 +95,8 @@ FEATURES = 1 << 13
 # Rows of the labelled table, and tokens of a run that training looks at.
 SAMPLE, LONGEST_RUN = 4000, 40
 STEPS, RATE, PULL = 120, 0.1, 1e-3
+# Characters of texts that are decoded at once: bounds a worker's memory, not what is looked at.
+TOGETHER = 1 << 19
 
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _GAP = re.compile(r"\s+")
@@ -278,7 +280,18 @@ def added_spans(text: str, found: list[list[Token]], labels: list[np.ndarray], b
 
 
 def find_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
-    """Per text: the rules' spans, and all spans."""
+    """Per text: the rules' spans, and all spans; some ``TOGETHER`` characters are looked at together."""
+    made, held, size = [], [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= TOGETHER:
+            made += _find_spans(held, field)
+            held, size = [], 0
+    return made + _find_spans(held, field)
+
+
+def _find_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     base = [base_spans(t) for t in texts]
     found = [runs(t) for t in texts]
     labels = iter(decode(field, [run_features(t, r) for t, rs in zip(texts, found) for r in rs]))

@@ -171,9 +171,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bi
     """``docs`` with one document of each group: the least id, then the least digest of the text, then
     the least hash of the row; of repeated rows one."""
     spark = docs.sparkSession
-    # The user's columns travel in one struct, so their names clash with none here.
+    # The user's columns travel in one struct, so their names clash with none here; the digest stands for the text.
     row = F.struct(*[f"`{c}`" for c in docs.columns])
-    digest, mark = F.coalesce(F.md5(F.col(text_col)), F.lit("")), F.xxhash64(F.to_json(row))
+    rest = F.struct(F.col(text_col).isNull().alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col])
+    digest, mark = F.coalesce(F.md5(F.col(text_col)), F.lit("")), F.xxhash64(F.to_json(rest))
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest.alias("digest"), mark.alias("mark"), row.alias("row"))
     path = scratch(spark, "fingerprints")
     fingerprints(keyed, ["id", "digest", "mark"], "text", shingle).write.parquet(path)

@@ -57,8 +57,9 @@ THRESHOLD = 0.3
 LABEL_BYTES, TABLE_BYTES = 64 << 20, 256 << 20
 # Rows of the scoring table that the driver fetches at once.
 FETCHED = 250_000
-SLICE_BYTES = 2 << 20
-SEGMENT_BYTES = 4 << 20
+# Bytes of texts that are scored at once: their words take some hundred times as much.
+SLICE_BYTES = 1 << 19
+SEGMENT_BYTES = 2 << 20
 
 CLASSES = ("toxic", "ordinary")
 
