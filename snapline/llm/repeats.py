@@ -14,8 +14,12 @@ are cut into shorter runs of windows, which have more bytes in common by which t
 few share them or single windows are left.
 
 Only numbers are exchanged to find the neighbourhoods; texts are read again for the segments that
-must be sorted, and for the result. Defined results: a null text is empty; repeated rows are separate documents, each the other's
-repeat; texts shorter than a window keep all; other columns are ignored.
+must be sorted, and for the result. Two segments count as equal by their 64-bit XXH3 hashes, within a
+neighbourhood that has equal bytes by such a hash, too.
+
+Defined results: a null text is empty; repeated rows are separate documents, each the other's repeat;
+texts shorter than a window keep all; very long texts are cut into segments like any other; there are
+no ties to break; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
