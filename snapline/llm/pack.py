@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 SEQUENCE = 2048
 BUCKET_TOKENS = 4 << 20
@@ -45,18 +47,31 @@ _IS_PLAIN = re.compile(_PLAIN).match
 _SPLIT = re.compile(rf"(?<={_PLAIN}) (?={_PLAIN})")
 _BREAK = re.compile(rf"(?<={_PLAIN})\n(?={_PLAIN})")
 _LETTERS_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
+_ALL_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+# How a byte-level model writes bytes: visible Latin-1 characters as they are, the others from U+0100 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or 174 <= b)]
+_SIGNS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
 class _OddSpace(Exception):
     """A space that is not between two plain characters."""
 
 
+def _splits_letters(tokenizer: Tokenizer) -> bool:
+    """Whether texts are cut at letters and written byte by byte before the model sees them."""
+    probe = " aé b"
+    return isinstance(tokenizer.pre_tokenizer, ByteLevel) and [
+        signs for signs, _ in tokenizer.pre_tokenizer.pre_tokenize_str(probe)
+    ] == [part.encode().decode("latin-1").translate(_SIGNS) for part in (" aé", " b")]
+
+
 class _Ids(dict):
     """Word to the little-endian 32-bit ids of its tokens: at a text's begin, or after a space."""
 
     def __init__(self, tokenizer: Tokenizer, first: _Ids | None = None):
         super().__init__()
         self.tokenizer, self.space, self.first = tokenizer, " " * (first is not None), self if first is None else first
+        self.model, self.byte_level = tokenizer.model, tokenizer.normalizer is None and _splits_letters(tokenizer)
 
     def __missing__(self, word: str) -> bytes:
         if self.space and not (_IS_PLAIN(word) and _IS_PLAIN(word[-1])):
@@ -72,7 +87,12 @@ class _Ids(dict):
         return made
 
     def encoded(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(self.space + word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.byte_level and _ALL_LETTERS(word):  # one run for the model, which is a third of the work
+            signs = (self.space + word).encode().decode("latin-1").translate(_SIGNS)
+            ids = [token.id for token in self.model.tokenize(signs)]
+        else:
+            ids = self.tokenizer.encode(self.space + word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _memory: dict[str, tuple[_Ids, _Ids, tuple[str, ...]]] = {}

@@ -70,3 +70,28 @@ def test_table(messy, nothing):
     total = got.groupby("sequence_id").length.sum()
     assert total.max() <= 2048 and ((total == 2048) | (total & (total - 1) == 0)).all()
     assert P.pack(nothing).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aZthéÿŁǃßøÀɏ·ªµ", min_size=1, max_size=12), min_size=1, max_size=6))
+def test_words_of_latin_letters_have_the_tokenizers_ids(parts):
+    text = " ".join(parts)
+    assert P.token_bytes(text) == ids(text).tobytes()
+
+
+def test_words_of_letters_go_to_the_model_at_once(monkeypatch):
+    """What took most of the CPU seconds: the whole tokenizer for every word that is not remembered."""
+    monkeypatch.setattr(P, "_memory", {})
+    P.token_bytes("a b")
+    first, rest, _ = P._memory[P.TOKENIZER]
+    whole = []
+
+    class Counted:
+        def encode(self, text, **options):
+            whole.append(text)
+            return T.encode(text, **options)
+
+    first.tokenizer = rest.tokenizer = Counted()
+    text = "Thonouen réion, an Wörd übermorgen x7"
+    assert P.token_bytes(text) == ids(text).tobytes()
+    assert whole == [",", " x7"]
