@@ -178,3 +178,31 @@ def test_stage_keeps_what_it_does_not_reject(docs, labels, messy):
     assert kept.columns == whole.columns
     scores = sorted(repr(r.doc_id) for r in T.toxicity(whole, labels).collect() if not r.predicted)
     assert sorted(repr(r.doc_id) for r in kept.collect()) == scores
+
+
+def test_all_labelled_ids_are_learned_from(llm, monkeypatch):
+    """More than 12,000, which were as many as the models used to be fitted on."""
+    docs = llm.range(20_000).selectExpr("id AS doc_id", "concat('a', id % 7, ' b', id % 11) AS text")
+    labels = llm.range(20_000).selectExpr("id AS doc_id", "CAST(id % 5 = 0 AS INT) AS toxic")
+    seen, made = [], T._model
+    monkeypatch.setattr(T, "_model", lambda sample: seen.append(sample.count()) or made(sample))
+    T.toxicity(docs, labels)
+    learned = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert seen == [sum(zlib.crc32(f"{i}:curve".encode()) % 5 != 0 for i in learned)]
+
+
+def test_rare_pairs_by_buckets_give_the_same_as_the_broadcast(docs, labels, messy, monkeypatch):
+    whole = docs.unionByName(messy, allowMissingColumns=True)
+    whole = whole.union(whole.where("doc_id % 50 = 1"))  # several copies of texts
+    plain = lambda df: sorted((repr(r.doc_id), r.predicted, round(r.score, 6)) for r in df.collect())
+    want = plain(T.toxicity(whole, labels))
+    kept = sorted(map(repr, T.remove_toxic(whole, labels).collect()))
+    for name, value in (("PAIR_BYTES", 4000), ("BUCKET_BYTES", 1 << 14), ("HELD", 1000), ("ASKED", 1000)):
+        monkeypatch.setattr(T, name, value)
+    assert plain(T.toxicity(whole, labels)) == want
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 0)
+    assert sorted(map(repr, T.remove_toxic(whole, labels).collect())) == kept
+    # Each path has work to do: some pairs are broadcast, most are not.
+    model = T._model(docs.join(labels, "doc_id").select("text", (F.col("toxic") > 0).alias("toxic")))
+    n = F.col("toxic") + F.col("ordinary")
+    assert model.pairs.where(n >= model.least()).count() * 16 <= 4000 < model.pairs.where(n >= 1).count() * 16 and model.least() > 1
