@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapline.llm.arrays import release
+
 # The kinds in order, and what their texts look like.
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -288,6 +290,7 @@ def find_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Sp
         if size >= TOGETHER:
             made += _find_spans(held, field)
             held, size = [], 0
+            release()
     return made + _find_spans(held, field)
 
 
@@ -310,6 +313,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Fiel
         part = part.where(F.pmod("h", F.lit(1 << 30)) < int(2 * sample / n * (1 << 30)))
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for h, text in zip(batch.column(1).to_pylist(), batch.column(0)):
                 text = text.as_py() or ""
@@ -364,6 +368,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("string")
     def clean(texts):
+        release()
         found = find_spans([t or "" for t in texts], field.value)
         return texts.where(texts.isna(), [redacted(t or "", s) for t, (_, s) in zip(texts, found)])
 
