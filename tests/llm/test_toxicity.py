@@ -1,3 +1,4 @@
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -206,3 +207,27 @@ def test_rare_pairs_by_buckets_give_the_same_as_the_broadcast(docs, labels, mess
     model = T._model(docs.join(labels, "doc_id").select("text", (F.col("toxic") > 0).alias("toxic")))
     n = F.col("toxic") + F.col("ordinary")
     assert model.pairs.where(n >= model.least()).count() * 16 <= 4000 < model.pairs.where(n >= 1).count() * 16 and model.least() > 1
+
+
+def test_table_is_broadcast_compressed():
+    drawn = np.random.default_rng(1)
+    key = lambda n: np.sort(drawn.integers(-(1 << 63), (1 << 63) - 1, n))
+    count = lambda *shape: drawn.integers(1, 5, shape).astype(np.float32)
+    for n in (0, 20_000):
+        table = T.Table(key(n), count(6, n), key(n), count(2, n), np.array([1e-9, 1e-8]))
+        packed = pickle.dumps(table)
+        again = pickle.loads(packed)
+        parts = [(getattr(x, name) for name in ("word", "values", "pair", "left", "unknown")) for x in (table, again)]
+        assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(*parts))
+    assert len(packed) < 20_000 * (8 * 4 + 2 * 8 + 2 * 4) / 2
+
+
+def test_each_rare_pair_is_looked_up_in_one_round_and_files_go(docs, labels, monkeypatch):
+    turns, made = [], T._Rest.sums
+    monkeypatch.setattr(T._Rest, "sums", lambda self, texts, turn, slices: turns.append(turn) or made(self, texts, turn, slices))
+    monkeypatch.setattr(T, "PAIR_BYTES", 4000)
+    monkeypatch.setattr(T, "BUCKET_BYTES", 1 << 14)
+    T.toxicity(docs.limit(200), labels)
+    assert turns == [0, 1] * 2 and docs.sparkSession.conf.get(T.CLEANED) == "true"
+    key = np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64)
+    assert set(T._turn(key, 7, 2)) == {0, 1} and np.array_equal(T._turn(key, 7, 2), T._bucket(key, 7) % 2)
