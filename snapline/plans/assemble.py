@@ -15,7 +15,7 @@ from snapline.functions.keys import key_of
 from snapline.operators.joins import anti_not_in, decode, left_by_key, left_window, semi_window, spread_join
 from snapline.operators.latest import latest_by
 from snapline.operators.pushdown import distinct_ids, restrict_to_keys
-from snapline.session import scratch
+from snapline.session import passing_shuffles, scanned_bytes, scratch
 
 # The columns of an order snapshot, in order.
 SNAPSHOT_COLUMNS = (
@@ -28,6 +28,9 @@ SNAPSHOT_COLUMNS = (
 PERSONAL_COLUMNS = ("name", "identification_number", "mobile_phone")
 HISTORY_WIDTH = "1 day"
 
+# Bytes of CRM history that a round takes on, and the most rounds: each reads the whole history.
+ROUND_BYTES, ROUNDS = 128 << 20, 8
+
 Frames = Mapping[str, DataFrame]
 
 
@@ -66,10 +69,35 @@ def _customers(lookup: DataFrame, dedupe: bool) -> DataFrame:
     return latest_by(rows, ["__customer"], PERSONAL_COLUMNS) if dedupe else rows
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    path, schema = scratch(df.sparkSession, name), df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+def _staged(name: str, *parts: DataFrame) -> DataFrame:
+    """The rows of all parts, written to the scratch folder one part after the other."""
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    path = scratch(spark, name)
+    with passing_shuffles(spark):
+        for part in parts:
+            part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _latest_within(crm: DataFrame, windows: DataFrame, width: str, tiebreak: Sequence[str]) -> DataFrame:
+    """Per customer its latest CRM order that one of its windows holds.
+
+    A large history is joined in rounds by order id, each a job that leaves the latest of its orders per
+    customer, so only a share of the history is in shuffle files at once.
+    """
+    def latest(rows: DataFrame) -> DataFrame:
+        return latest_by(rows, ["__crm_customer"], ["order_date_create"], tiebreak)
+
+    def within(rows: DataFrame) -> DataFrame:
+        return latest(semi_window(rows, windows, "__crm_customer", "order_date_create", "__created", width))
+
+    rounds = min(ROUNDS, -(-scanned_bytes(crm) // ROUND_BYTES))
+    if rounds < 2:
+        return within(crm)
+    shown = {name.lower() for name in (*SNAPSHOT_COLUMNS, *tiebreak, "__crm_customer")}
+    crm = crm.select(*[F.col(f"`{name}`") for name in crm.columns if name.lower() in shown])
+    share = F.pmod(F.xxhash64("cust_order_id"), F.lit(rounds))
+    return latest(_staged("latest", *[within(crm.where(share == i)) for i in range(rounds)]))
 
 
 def _newest_first(df: DataFrame) -> DataFrame:
@@ -91,7 +119,8 @@ def assemble_history(
     row per customer, so only the check exchanges the CRM history.
 
     The unregistered orders are found once, in a job of its own that writes them to the scratch folder:
-    both the windows and the result are made from them, and the not-in reads every order.
+    both the windows and the result are made from them, and the not-in reads every order. So are, in
+    rounds, the latest CRM orders of a large history.
     """
     orders, ids = sources["customer_orders"], sources["crm_cust_order_ids"]
     ids = ids.select(key_of(ids, "id").alias("id"))
@@ -101,10 +130,9 @@ def assemble_history(
         "__customer_key", key_of(orders, "customer_id")
     )
 
-    unregistered = _staged(anti_not_in(orders, "__order", ids, "id", restricted=True).drop("__order"), "unregistered")
+    unregistered = _staged("unregistered", anti_not_in(orders, "__order", ids, "id", restricted=True).drop("__order"))
     windows = unregistered.select(F.col("__customer_key").alias("__crm_customer"), F.col("created_at").alias("__created"))
-    candidates = semi_window(crm, windows, "__crm_customer", "order_date_create", "__created", width)
-    latest = latest_by(candidates, ["__crm_customer"], ["order_date_create"], tiebreak)
+    latest = _latest_within(crm, windows, width, tiebreak)
     enriched = left_window(
         unregistered, latest, "__customer_key", "__crm_customer", "created_at", "order_date_create", width,
         hash_name="__customer_hash",

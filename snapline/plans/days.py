@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from snapline.plans.run import PipelineSpec, build, collect_sources
 from snapline.plans.snapshot import COMPRESSION, ContractError, Rules
-from snapline.session import size_shuffles
+from snapline.session import passing_shuffles, size_shuffles
 from snapline.sources import files
 
 _POINTER, _FOLDER = "days.json", "part_day"
@@ -47,10 +47,11 @@ def _digests(df: DataFrame, day: str, grain: str) -> dict[str, tuple[int, str]]:
     """Rows and digest per day; one row a day reaches the driver."""
     columns = [F.col(f"`{c}`") for c in df.columns]
     total = lambda *seed: F.sum(F.xxhash64(*seed, *columns).cast("decimal(38,0)")).cast("string")
-    found = df.groupBy(_part(day, grain).alias("day")).agg(
-        F.count(F.lit(1)).alias("rows"), F.concat_ws(":", total(), total(F.lit(1))).alias("digest")
-    )
-    made = {NO_DAY if r["day"] is None else r["day"]: (r["rows"], r["digest"]) for r in found.collect()}
+    with passing_shuffles(df.sparkSession):
+        found = df.groupBy(_part(day, grain).alias("day")).agg(
+            F.count(F.lit(1)).alias("rows"), F.concat_ws(":", total(), total(F.lit(1))).alias("digest")
+        ).collect()
+    made = {NO_DAY if r["day"] is None else r["day"]: (r["rows"], r["digest"]) for r in found}
     odd = [d for d in made if d != NO_DAY and not _DAY.fullmatch(d)]
     if odd:
         raise ContractError(f"'{odd[0]}' in column '{day}' is no day")
@@ -60,7 +61,8 @@ def _digests(df: DataFrame, day: str, grain: str) -> dict[str, tuple[int, str]]:
 def _write(df: DataFrame, day: str, grain: str, home: str) -> None:
     parts = df.withColumn(_FOLDER, _part(day, grain))
     # A day is one file; a large one is split into several tasks.
-    parts.hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).option("compression", COMPRESSION).parquet(home)
+    with passing_shuffles(df.sparkSession):
+        parts.hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).option("compression", COMPRESSION).parquet(home)
 
 
 def _among(day: str, grain: str, days: list[str]) -> Column:
